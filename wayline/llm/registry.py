@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from wayline.llm import q_bpe
+from wayline.llm import q_bpe, q_minhash, q_repeats, q_wrapper
 
 QUERIES = {
+    "op2_minhash": q_minhash.op2_minhash,
     "op3_bpe": q_bpe.op3_bpe,
+    "op5_suffix_array": q_repeats.op5_suffix_array,
+    "op7_html": q_wrapper.op7_html,
 }
 
 ORACLES: dict[str, str] = {}
