@@ -43,81 +43,97 @@ HEADERS, HEADER_MARKS = frozenset({"header"}), frozenset({"header", "masthead"})
 
 def dropped(node: Node, inside: bool) -> bool:
     """Whether a part is none of the article; headers are, but for those inside it."""
-    if node.tag in NO_ARTICLE or node.marks & NO_ARTICLE_MARKS and node.tag not in ("html", "body", "article", "main"):
+    if node.tag in NO_ARTICLE or not inside and node.tag in HEADERS:
         return True
-    return not inside and (node.tag in HEADERS or bool(node.marks & HEADER_MARKS) and node.tag not in ("html", "body", "article", "main"))
+    if not node.marks or node.tag in ("html", "body", "article", "main"):
+        return False
+    return bool(node.marks & NO_ARTICLE_MARKS) or not inside and bool(node.marks & HEADER_MARKS)
 
 
 def is_article(tag: str, words: frozenset) -> int:
     return 3 if tag == "article" else 2 if tag == "main" else 1 if words & ARTICLE_MARKS else 0
 
 
-def blocks(node: Node, inside: bool = True) -> list[str]:
-    """The blocks of text in a part, white space made one space."""
-    out, now = [], []
-
-    def end() -> None:
-        if now:
-            if text := " ".join("".join(now).split()):
-                out.append(text)
-            now.clear()
-
-    todo: list = [node]
-    while todo:
-        x = todo.pop()
-        if x is None:
-            end()
-        elif isinstance(x, str):
-            now.append(x)
-        elif x is node or not dropped(x, inside):
-            if x.tag == "br":
-                now.append(" ")
-            block = x.tag not in INLINE
-            if block:
-                end()
-                todo.append(None)
-            todo.extend(reversed(x.children))
-        elif x.tag not in INLINE:
-            end()
-    end()
-    return out
-
-
 class Outline:
-    """Containers of a page in preorder, with runs of equal siblings folded: labels, nodes and what they hold."""
+    """Containers of a page in preorder, with runs of equal siblings folded, and the blocks of text in each."""
 
     def __init__(self, root: Node):
         self.tree: list[tuple[int, str]] = []
-        self.nodes: list[Node] = []
-        todo = [(root, 0)]
+        self.spans: list[list[int]] = []
+        self.blocks: list[str] = []
+        now: list[str] = []
+        # on the stack: text, an element (with depth, inside an article, a container), or the end of a block or container
+        todo: list = [(root, 0, False, True)]
         while todo:
-            node, depth = todo.pop()
-            self.tree.append((depth, ".".join([node.tag, *sorted(node.marks)])))
-            self.nodes.append(node)
-            inside = is_article(node.tag, node.marks) > 0
+            x = todo.pop()
+            if isinstance(x, str):
+                now.append(x)
+                continue
+            inline = isinstance(x, tuple) and x[0].tag in INLINE
+            if now and not inline:
+                if text := " ".join("".join(now).split()):
+                    self.blocks.append(text)
+                now.clear()
+            if isinstance(x, int):
+                if x >= 0:
+                    self.spans[x][1] = len(self.blocks)
+                continue
+            node, depth, inside, container = x
+            if container:
+                todo.append(len(self.tree))
+                self.tree.append((depth, ".".join([node.tag, *sorted(node.marks)])))
+                self.spans.append([len(self.blocks), 0])
+            elif not inline:
+                todo.append(-1)
+            elif node.tag == "br":
+                now.append(" ")
+            inside = inside or is_article(node.tag, node.marks) > 0
             before, kids = None, []
-            for x in node.children:
-                if not isinstance(x, Node) or x.tag in INLINE or dropped(x, inside):
-                    continue
-                marked = is_article(x.tag, x.marks)
-                if marked or any(isinstance(y, Node) and y.tag not in INLINE for y in x.children):
-                    if marked or (x.tag, x.marks) != before:
-                        kids.append((x, depth + 1))
-                    before = (x.tag, x.marks)
-            todo.extend(reversed(kids))
-        texts = ["\n".join(blocks(node, is_article(node.tag, node.marks) > 0)) for node in self.nodes]
-        self.digests = [xxhash.xxh3_64_intdigest(t.encode("utf-8", "replace")) - (1 << 63) for t in texts]
-        self.sizes = [len(t) for t in texts]
+            for y in node.children:
+                if isinstance(y, str):
+                    kids.append(y)
+                elif dropped(y, inside):
+                    if y.tag not in INLINE:
+                        kids.append(-1)
+                else:
+                    below = False
+                    if container and y.tag not in INLINE:
+                        marked = is_article(y.tag, y.marks)
+                        if marked or any(isinstance(z, Node) and z.tag not in INLINE for z in y.children):
+                            below = bool(marked) or (y.tag, y.marks) != before
+                            before = (y.tag, y.marks)
+                    kids.append((y, depth + 1, inside, below))
+            kids.reverse()
+            todo += kids
+
+    def text(self, at: int) -> str:
+        return "\n\n".join(self.blocks[slice(*self.spans[at])])
+
+    def held(self) -> tuple[list[int], list[int]]:
+        """Digest and size of the text of each container outside the containers in it."""
+        owner = [0] * len(self.blocks)
+        for k, (start, end) in enumerate(self.spans):
+            owner[start:end] = [k] * (end - start)
+        own: list[list[str]] = [[] for _ in self.spans]
+        for k, block in zip(owner, self.blocks, strict=True):
+            own[k].append(block)
+        texts = ["\n\n".join(x) for x in own]
+        return [xxhash.xxh3_64_intdigest(t.encode("utf-8", "replace")) - (1 << 63) for t in texts], [len(t) for t in texts]
 
 
 def slot(tree: list, varies: list[bool], sizes: list[int]) -> int:
     """The node that holds the article."""
-    open_ = [i for i in range(len(tree)) if varies[i] and sizes[i]]
-    words = lambda i: (tree[i][1].split(".")[0], frozenset(tree[i][1].split(".")[1:]))
-    if marked := [i for i in open_ if is_article(*words(i))]:
-        return max(marked, key=lambda i: (is_article(*words(i)), sizes[i], -i))
-    most = MOST * max((sizes[i] for i in open_), default=0)
-    return max((i for i in open_ if sizes[i] >= most), key=lambda i: (tree[i][0], sizes[i], -i), default=0)
+    varying, total, path = [0] * len(tree), [0] * len(tree), []
+    for i, (depth, _) in enumerate(tree):
+        path[depth:] = [i]
+        for up in path:
+            total[up] += sizes[i]
+            varying[up] += sizes[i] * varies[i]
+    marked = [is_article(tag, frozenset(words)) for tag, *words in (label.split(".") for _, label in tree)]
+    if any(rank and size for rank, size in zip(marked, total, strict=True)):
+        return max((i for i in range(len(tree)) if marked[i] and total[i]), key=lambda i: (marked[i], varying[i], total[i], -i))
+    most = MOST * max(varying, default=0)
+    return max((i for i in range(len(tree)) if varying[i] >= most), key=lambda i: (tree[i][0], varying[i], -i), default=0)
 
 
 def coded(tree: list[tuple[int, str]]) -> str:
@@ -136,11 +152,10 @@ def aligned(tree: str, reference: str) -> dict[int, int]:
 def outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For mapInArrow: (host, page_id, html) -> the page's containers."""
     for batch in batches:
-        rows = [Outline(parse(html)) for html in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array([coded(x.tree) for x in rows], pa.string()), pa.array([x.digests for x in rows], pa.list_(pa.int64())), pa.array([x.sizes for x in rows], pa.list_(pa.int32()))],
-            ["host", "page_id", "tree", "digests", "sizes"],
-        )
+        pages = [Outline(parse(html)) for html in batch.column(2).to_pylist()]
+        digests, sizes = zip(*(page.held() for page in pages), strict=True) if pages else ([], [])
+        columns = [pa.array([coded(x.tree) for x in pages], pa.string()), pa.array(digests, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32()))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["host", "page_id", "tree", "digests", "sizes"])
 
 
 def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,9 +187,8 @@ def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             page = Outline(parse(html))
             found = next((i for i, j in aligned(coded(page.tree), reference).items() if j == at), 0) if reference else 0
             if not found:
-                found = slot(page.tree, [True] * len(page.tree), page.sizes)
-            node = page.nodes[found]
-            out.append("\n\n".join(blocks(node, is_article(node.tag, node.marks) > 0)))
+                found = slot(page.tree, [True] * len(page.tree), page.held()[1])
+            out.append(page.text(found))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], ["page_id", "url", "text"])
 
 
