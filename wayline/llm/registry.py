@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from wayline.llm import q_bpe, q_minhash, q_repeats, q_wrapper
+from wayline.llm import q_bpe, q_chat, q_minhash, q_mixing, q_repeats, q_secrets, q_toxicity, q_wrapper
 
 QUERIES = {
+    "op1_secrets": q_secrets.op1_secrets,
     "op2_minhash": q_minhash.op2_minhash,
     "op3_bpe": q_bpe.op3_bpe,
+    "op4_chat": q_chat.op4_chat,
     "op5_suffix_array": q_repeats.op5_suffix_array,
+    "op6_mixing": q_mixing.op6_mixing,
     "op7_html": q_wrapper.op7_html,
+    "op9_toxicity": q_toxicity.op9_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_secrets": q_secrets.ORACLE,
+    "op4_chat": q_chat.ORACLE,
+}
