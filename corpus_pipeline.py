@@ -1,10 +1,71 @@
-"""The corpus pipeline; its stages come with their operators."""
+"""The corpus pipeline: toxic documents go, near copies go, secrets are blanked, sources are mixed, texts are encoded."""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wayline.llm import bpe, minhash, mixing, secrets, toxicity
+from wayline.llm.common import whole_text, written
+from wayline.session import table, with_package
+
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score is below one half; rows without a doc_id stay."""
+    scores = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
+    rejected = scores.where("score >= 0.5").select("doc_id").distinct()
+    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies, the one of the smallest doc_id; of equal rows one."""
+    with_package(spark)
+    kept = minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_doc")).distinct()
+    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_doc"))).select(*docs.columns, F.xxhash64(whole_text()).alias("_text"))
+    return rows.dropDuplicates(["doc_id", "_text"]).select(*docs.columns)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their secrets replaced."""
+    return secrets.redacted(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    return mixing.mixed(docs)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document's ids and of the bytes they decode to."""
+    with_package(spark)
+    ranks = bpe.read_ranks(public_tokenizers.path(VOCABULARY))
+    found = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
+STAGES = [
+    ("toxicity", clean),
+    ("near-duplicates", distinct),
+    ("secrets", without_secrets),
+    ("mixing", mixed),
+    ("encoding", encoded),
+]
+
+#: Learned scores and Newton steps have no SQL; tests/llm/test_pipeline.py compares with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after the other over documents, each result written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

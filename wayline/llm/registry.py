@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wayline.llm import q_bpe, q_chat, q_minhash, q_mixing, q_repeats, q_secrets, q_toxicity, q_wrapper
+from wayline.llm import q_bpe, q_chat, q_hilbert, q_minhash, q_mixing, q_repeats, q_secrets, q_topk, q_toxicity, q_wrapper
 
 QUERIES = {
     "op1_secrets": q_secrets.op1_secrets,
@@ -12,10 +12,13 @@ QUERIES = {
     "op5_suffix_array": q_repeats.op5_suffix_array,
     "op6_mixing": q_mixing.op6_mixing,
     "op7_html": q_wrapper.op7_html,
+    "op8_hilbert": q_hilbert.op8_hilbert,
     "op9_toxicity": q_toxicity.op9_toxicity,
+    "op10_topk": q_topk.op10_topk,
 }
 
 ORACLES: dict[str, str] = {
     "op1_secrets": q_secrets.ORACLE,
     "op4_chat": q_chat.ORACLE,
+    "op10_topk": q_topk.ORACLE,
 }
