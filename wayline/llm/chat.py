@@ -3,7 +3,8 @@
 For every speaker of a conversation all its messages are rendered in order, with that speaker as the assistant
 and the others as named users; system messages stay what they are. The assistant's texts and their end marks
 are what a model is trained on. A row is one message in one view, with its place in the rendered dialogue, so
-the dialogue is the rows' texts in order of `start`, and (mask_start, mask_end) are the trained code points.
+the dialogue is the rows' texts in order of `start`, and (mask_start, mask_end) are the trained code points, none
+in the other messages.
 
 All of it is DataFrame functions. Conversations are dealt out in buckets of turns, so a conversation of any
 length is spread: places are sums within a bucket plus the buckets before.
@@ -58,6 +59,6 @@ def perspectives(messages: DataFrame) -> DataFrame:
         "role",
         "rendered",
         start.alias("start"),
-        F.when(trained, start + F.length("head")).alias("mask_start"),
-        F.when(trained, start + size).alias("mask_end"),
+        F.when(trained, start + F.length("head")).otherwise(start).alias("mask_start"),
+        F.when(trained, start + size).otherwise(start).alias("mask_end"),
     )

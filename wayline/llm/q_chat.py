@@ -25,7 +25,7 @@ placed AS (
   SELECT *, sum(length(rendered)) OVER (PARTITION BY conv_id, speaker ORDER BY turn NULLS LAST, name, text ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
     - length(rendered) AS start FROM rendered)
 SELECT conv_id, speaker, turn, name, role, rendered, CAST(start AS BIGINT) AS start,
-  CAST(CASE WHEN role = 'assistant' THEN start + length(head) END AS BIGINT) AS mask_start,
-  CAST(CASE WHEN role = 'assistant' THEN start + length(rendered) END AS BIGINT) AS mask_end
+  CAST(CASE WHEN role = 'assistant' THEN start + length(head) ELSE start END AS BIGINT) AS mask_start,
+  CAST(CASE WHEN role = 'assistant' THEN start + length(rendered) ELSE start END AS BIGINT) AS mask_end
 FROM placed
 """

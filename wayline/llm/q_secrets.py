@@ -23,7 +23,7 @@ def _matches(kind: str) -> str:
     pattern, group = secrets.PATTERNS[kind]
     sql = pattern.replace("'", "''")
     return f"""SELECT doc_id, row_id, '{kind}' AS pattern, unnest(range(len(m))) AS k,
-        unnest(list_transform(b[1:len(m)], x -> length(x))) AS before, unnest(list_transform(m, x -> length(x))) AS whole, unnest(g) AS token
+        unnest([length(x) for x in b[1:len(m)]]) AS before, unnest([length(x) for x in m]) AS whole, unnest(g) AS token
       FROM (SELECT doc_id, row_id, regexp_extract_all(text, '{sql}') AS m, regexp_extract_all(text, '{sql}', {group}) AS g, string_split_regex(text, '{sql}') AS b FROM docs)"""
 
 

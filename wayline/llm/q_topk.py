@@ -14,8 +14,8 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE = """
 WITH usable AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
 scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
   FROM usable q JOIN usable c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
