@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
-FLAGSHIP = ""
+from wayline.plans import matching, metrics, relational, sampling, sequences, texts, urls  # noqa: F401
+from wayline.plans.catalog import ORACLES, QUERIES  # noqa: F401
+
+FLAGSHIP = "f1_noise_profile"
