@@ -25,7 +25,9 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    """Cosine in [-1, 1]; 0 for a zero vector."""
+    """Cosine in [-1, 1] over the shorter length; 0 for a zero vector."""
+    n = F.least(F.size(a), F.size(b))
+    a, b = F.slice(a, F.lit(1), n), F.slice(b, F.lit(1), n)
     norms = F.sqrt(dot(a, a) * dot(b, b))
     return F.when(norms == 0, 0.0).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot(a, b) / norms)))
 
