@@ -3,7 +3,7 @@
 Every vector gets a key on each of CURVES Hilbert curves: it is projected on a few random directions, each
 coordinate is made uniform by the normal distribution's function, shifted by a random amount (around the edge)
 and cut into cells, and the key is the cell's place on the curve. Spark partitions every curve by ranges of keys
-into blocks of about BLOCK rows. A query is sent to the blocks around its own key, up to the share WINDOW of all
+into blocks of about BLOCK rows (parts of blocks, beyond RANGES blocks). A query is sent to the blocks around its own key, up to the share WINDOW of all
 rows; each gives its best, by exact inner products in double precision, and the lists of all curves and blocks
 merge into one.
 
@@ -34,6 +34,8 @@ CURVES = 4
 DIRECTIONS = 3
 BITS = 12
 BLOCK = 2048
+#: Ranges of keys per curve at most: their bounds are broadcast. Longer blocks are dealt out in parts.
+RANGES = 512
 WINDOW = 0.45
 SEED = 20_240_503
 
@@ -106,7 +108,7 @@ def neighbours(vectors: DataFrame, every: int = 20, k: int = 20, curves: int = C
     """(query_id, rank, vec_id, score): for every row whose vec_id is divisible by `every` its k nearest found."""
     rows = usable(vectors, zero=False).where("vec_id is not null")
     size = rows.agg(F.max(F.size("embedding")).alias("width"), F.count("*").alias("n")).first()
-    width, blocks = size.width or 1, max(1, -(-size.n // BLOCK))
+    width, blocks = size.width or 1, min(RANGES, max(1, -(-size.n // BLOCK)))
     seen = written(rows.mapInArrow(keyed(width, curves), "vec_id long, embedding array<double>, keys array<long>"))
     posted = seen.select("vec_id", "embedding", F.posexplode("keys").alias("curve", "key"))
     # where the blocks of each curve begin: `blocks` numbers for each of a fixed number of curves
