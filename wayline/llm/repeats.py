@@ -3,8 +3,9 @@
 A window is a string of `length` bytes. Its anchor is the least hash of the short strings in it, so equal
 windows have equal anchors at equal places, and neighbouring windows mostly share theirs: a stretch is a run of
 windows with one anchor. Stretches meet by anchor. Those whose anchor occurs once hold no repeated window.
-Equal stretches (by a 128-bit digest) repeat whole. Different stretches of one anchor are fetched, one of each
-digest, and sorted into a suffix array by Lyndon groups (suffixes.py), where equal windows are neighbours.
+Equal stretches (by anchor and a 64-bit digest) repeat whole. Different stretches of one anchor are fetched, one
+of each digest, cut down to the windows whose middles another one shares, and sorted into a suffix array by
+Lyndon groups (suffixes.py), where equal windows are neighbours.
 Groups of more than GROUP different stretches are divided further, by whole windows instead of their anchors.
 
 Cases: null and empty texts and texts shorter than a window lose nothing; equal rows are occurrences of each
@@ -14,6 +15,7 @@ columns are not read; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +30,8 @@ from wayline.llm.suffixes import repeated_windows
 
 GRAM = 32
 GROUP = 48
+#: Places of an anchor in a window that share a middle.
+NEAR = 16
 #: Bytes of texts hashed at a time.
 BATCH = 1 << 19
 
@@ -82,14 +86,18 @@ def stretches(data: bytes, bounds: np.ndarray, length: int):
     return hashes[at[head]].view(np.int64), at[head], starts[head], starts[tail]
 
 
-def digests(parts: list[bytes]) -> pa.Array:
-    offsets = np.arange(len(parts) + 1, dtype=np.int32) * 16
-    return pa.Array.from_buffers(pa.binary(), len(parts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(b"".join(parts))])
+#: A stretch's place in its text, in one number: its first window's start, how many more follow, where the anchor is.
+def packed(lo, more, ahead):
+    return (lo << 16) | (more << 8) | ahead
+
+
+def unpacked(place: int) -> tuple[int, int, int]:
+    return place >> 16, place >> 8 & 255, place & 255
 
 
 def anchored(length: int, most: int):
     """For mapInArrow: (doc_id, hash, text as bytes) -> stretches."""
-    names = ["anchor", "same", "doc_id", "hash", "lo", "hi", "at"]
+    names = ["anchor", "same", "doc_id", "hash", "place"]
 
     def emit(ids: list, hashes: list, texts: list[bytes]):
         data, bounds = b"".join(texts), np.cumsum([0, *map(len, texts)])
@@ -97,12 +105,11 @@ def anchored(length: int, most: int):
             return
         anchor, at, lo, hi = found
         view = memoryview(data)
-        same = [xxhash.xxh3_128_digest(view[a : b + length], c) for a, b, c in zip(lo.tolist(), hi.tolist(), (at - lo).tolist(), strict=True)]
+        same = [xxhash.xxh3_64_intdigest(view[a : b + length], c) for a, b, c in zip(lo.tolist(), hi.tolist(), (at - lo).tolist(), strict=True)]
         row = np.searchsorted(bounds, lo, side="right") - 1
-        base = bounds[row]
         take = pa.array(row)
-        columns = [pa.array(anchor), digests(same), pa.array(ids, pa.int64()).take(take), pa.array(hashes, pa.int64()).take(take)]
-        yield pa.RecordBatch.from_arrays([*columns, *(pa.array((x - base).astype(np.int32)) for x in (lo, hi, at))], names)
+        columns = [pa.array(anchor), pa.array(np.array(same, dtype=np.uint64).view(np.int64)), pa.array(ids, pa.int64()).take(take), pa.array(hashes, pa.int32()).take(take)]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(packed(lo - bounds[row], hi - lo, at - lo))], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,23 +133,25 @@ def anchored(length: int, most: int):
     def pieces(doc, key, text: bytes):
         for start in range(0, len(text), most):
             for out in emit([doc], [key], [text[start : start + most + length - 1]]):
-                shift = [pa.compute.add(out.column(k), pa.scalar(start, pa.int32())) for k in (4, 5, 6)]
-                yield pa.RecordBatch.from_arrays([*out.columns[:4], *shift], names)
+                yield pa.RecordBatch.from_arrays([*out.columns[:4], pa.compute.add(out.column(4), pa.scalar(start << 16, pa.int64()))], names)
 
     return run
 
 
-STRETCH = "anchor long, same binary, doc_id long, hash long, lo int, hi int, at int"
+STRETCH = "anchor long, same long, doc_id long, hash int, place long"
 
 
 def fetched(length: int):
     """For mapInArrow: (doc_id, hash, text as bytes, stretches) -> the stretches with their bytes."""
-    schema = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("hash", pa.int64()), ("lo", pa.int32()), ("at", pa.int32()), ("once", pa.bool_()), ("many", pa.bool_()), ("part", pa.binary())])
+    schema = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("hash", pa.int32()), ("place", pa.int64()), ("once", pa.bool_()), ("many", pa.bool_()), ("part", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc, key, text, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                rows = [{"anchor": x["anchor"], "doc_id": doc, "hash": key, "lo": x["lo"], "at": x["at"], "once": x["once"], "many": x["many"], "part": text[x["lo"] : x["hi"] + length]} for x in found]
+                rows = []
+                for x in found:
+                    lo, more, _ = unpacked(x["place"])
+                    rows.append({"doc_id": doc, "hash": key, **x, "part": text[lo : lo + more + length]})
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     return run
@@ -152,15 +161,36 @@ def sorted_groups(length: int):
     """For mapInArrow: rows ordered by anchor -> spans of the windows of stretches seen once that another stretch has too."""
 
     def spans(group: list[tuple]) -> list[tuple]:
-        parts = list(dict.fromkeys((part, at - lo) for _, _, lo, at, _, part in group))
-        if len(parts) < 2:
+        rows = [(*unpacked(place), part) for _, _, place, _, part in group]
+        # windows that have the anchor at places `a` to `b - 1` share all from the last's start to the first's end
+        middles: dict[tuple, set] = defaultdict(set)
+        for _, more, ahead, part in rows:
+            for a in range(0, ahead + 1, NEAR):
+                if a + NEAR > ahead - more:
+                    middles[a, part[ahead - a : ahead - a - NEAR + 1 + length]].add((ahead, part))
+        shared: dict[tuple, list[int]] = {}
+        for (a, _), owners in middles.items():
+            if len(owners) > 1:
+                for owner in owners:
+                    shared.setdefault(owner, []).append(a)
+        cut = {}
+        for _, more, ahead, part in rows:
+            if places := shared.get((ahead, part)):
+                first, last = max(0, ahead - max(places) - NEAR + 1), min(more, ahead - min(places))
+                cut[ahead, part] = first, part[first : last + length]
+        if len(cut) < 2:
             return []
-        ranges = dict(zip(parts, repeated_windows([p for p, _ in parts], length), strict=True))
-        return [(doc, key, lo + a, lo + b - 1 + length) for doc, key, lo, at, once, part in group if once for a, b in ranges[part, at - lo]]
+        ranges = dict(zip(cut, repeated_windows([x for _, x in cut.values()], length), strict=True))
+        out = []
+        for (doc, key, _, once, _), (lo, _, ahead, part) in zip(group, rows, strict=True):
+            if once and (ahead, part) in cut:
+                base = lo + cut[ahead, part][0]
+                out += [(doc, key, base + a, base + b - 1 + length) for a, b in ranges[ahead, part]]
+        return out
 
     def out(rows: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*rows, strict=True)) or [[], [], [], []]
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "hash", "start", "end"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,11 +215,11 @@ def by_window(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, key, lo, once, part in zip(*(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in ("doc_id", "hash", "lo", "once", "part")), strict=True):
-                view = memoryview(part)
+            for doc, key, place, once, part in zip(*(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in ("doc_id", "hash", "place", "once", "part")), strict=True):
+                lo, view = unpacked(place)[0], memoryview(part)
                 rows += [(xxhash.xxh3_128_digest(view[i : i + length]), doc, key, lo + i, once) for i in range(len(part) - length + 1)]
             columns = list(zip(*rows, strict=True)) or [[], [], [], [], []]
-            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.bool_())
+            kinds = (pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     return run
@@ -217,30 +247,31 @@ def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(docs: DataFrame, length: int = 200, group: int = GROUP, batch: int = BATCH) -> DataFrame:
     """(doc_id, n_bytes, spans, kept) of every row of docs(doc_id, text): the runs of bytes that repeated windows
     cover, and the other bytes."""
-    if length < GRAM:
-        raise ValueError(f"length must be at least {GRAM}")
+    if not GRAM + NEAR <= length <= GRAM + 255:
+        raise ValueError(f"length must be from {GRAM + NEAR} to {GRAM + 255}")
     rows = docs.select("doc_id", whole_text().alias("text"))
-    rows = rows.select("doc_id", F.xxhash64("text").alias("hash"), F.col("text").cast("binary").alias("text"))
+    rows = rows.select("doc_id", F.hash("text").alias("hash"), F.col("text").cast("binary").alias("text"))
     long = rows.where(F.length("text") >= length)
     found = written(long.mapInArrow(anchored(length, batch), STRETCH))
-    often = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # what is joined is written first: Spark can then divide the many stretches of one anchor among tasks
+    often = written(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
     met = written(found.join(often, "anchor"))
-    kinds = met.groupBy("anchor", "same").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"))
-    kinds = written(kinds)
+    kinds = written(met.groupBy("anchor", "same").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")))
     mixed = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.max(F.col("n") == 1).alias("single"))
-    mixed = mixed.where("kinds > 1 and single").select("anchor", (F.col("kinds") > group).alias("many"))
+    mixed = written(mixed.where("kinds > 1 and single").select("anchor", (F.col("kinds") > group).alias("many")))
+    lo, more = F.shiftright("place", 16).cast("int"), F.shiftright("place", 8).bitwiseAND(255).cast("int")
     copied = met.join(kinds.where("n > 1").select("anchor", "same"), ["anchor", "same"])
-    whole = copied.select("doc_id", "hash", F.col("lo").alias("start"), (F.col("hi") + length).alias("end"))
+    whole = copied.select("doc_id", "hash", lo.alias("start"), (lo + more + length).alias("end"))
     wanted = kinds.join(mixed, "anchor").select("anchor", "same", "doc_id", (F.col("n") == 1).alias("once"), "many")
     wanted = met.join(wanted, ["anchor", "same", "doc_id"])
-    per_text = wanted.groupBy("doc_id", "hash").agg(F.collect_list(F.struct("anchor", "lo", "hi", "at", "once", "many")).alias("found"))
+    per_text = wanted.groupBy("doc_id", "hash").agg(F.collect_list(F.struct("anchor", "place", "once", "many")).alias("found"))
     parts = rows.join(per_text, ["doc_id", "hash"]).select("doc_id", "hash", "text", "found")
-    parts = written(parts.mapInArrow(fetched(length), "anchor long, doc_id long, hash long, lo int, at int, once boolean, many boolean, part binary"))
-    few = parts.where("not many").select("anchor", "doc_id", "hash", "lo", "at", "once", "part")
-    some = few.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(sorted_groups(length), "doc_id long, hash long, start int, end int")
-    windows = written(parts.where("many").mapInArrow(by_window(length), "window binary, doc_id long, hash long, start int, once boolean"))
+    parts = written(parts.mapInArrow(fetched(length), "anchor long, doc_id long, hash int, place long, once boolean, many boolean, part binary"))
+    few = parts.where("not many").select("anchor", "doc_id", "hash", "place", "once", "part")
+    some = few.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(sorted_groups(length), "doc_id long, hash int, start int, end int")
+    windows = written(parts.where("many").mapInArrow(by_window(length), "window binary, doc_id long, hash int, start int, once boolean"))
     twice = windows.groupBy("window").agg(F.count("*").alias("n"), F.max("once").alias("once")).where("n > 1 and once").select("window")
-    rest = windows.where("once").join(twice, "window").select("doc_id", "hash", "start", (F.col("start") + length).alias("end"))
+    rest = windows.where("once").join(written(twice), "window").select("doc_id", "hash", "start", (F.col("start") + length).alias("end"))
     spans = whole.unionByName(some).unionByName(rest).groupBy("doc_id", "hash").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     out = rows.join(spans, ["doc_id", "hash"], "left").select("doc_id", "text", "spans")
     return out.mapInArrow(without, "doc_id long, n_bytes long, spans array<struct<start int, end int>>, kept binary")
