@@ -3,8 +3,8 @@
 A character language model is counted over all documents. Tokens that hide their letters (leetspeak, letters
 spaced out, separators inside, long repetitions) become lattices of the letters they may stand for, and a
 Viterbi search finds the likeliest reading under the model. The restored words are scored by a lexicon of word
-beginnings that labelled documents show to be significantly more frequent in toxic ones, and the sum of a
-document's evidence is turned into a probability by logistic regression.
+beginnings that labelled documents show to be significantly more frequent in toxic ones: a document is as toxic
+as its most toxic word, and logistic regression turns that word's weight into a probability.
 
 The lexicon and the regression are fitted on up to SAMPLE labelled rows, those of the smallest hashes of
 doc_id; everything else covers all rows. Rows whose crc32(doc_id as text) mod 5 is 0 are never fitted on, and
@@ -36,8 +36,6 @@ SAMPLE = 20_000
 LEXICON = 5_000
 #: Nats of evidence against chance that a word beginning needs.
 EVIDENCE = 16.0
-#: A document's evidence beyond this changes nothing.
-MOST = 60.0
 #: Distinct tokens a worker remembers; beyond it the memory starts anew.
 REMEMBERED = 500_000
 
@@ -180,27 +178,23 @@ def counted(model):
 
 
 def evidence(model, lexicon):
-    """For mapInArrow: (..., text) -> the sum of the weights of the lexicon's word beginnings in the text."""
+    """For mapInArrow: (..., text) -> the greatest weight of the lexicon's word beginnings in the text, 0 without any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = lexicon.value
 
-        class Starts(dict):
-            """Word -> its beginning of most weight in the lexicon."""
+        class Weights(dict):
+            """Word -> the greatest weight of its beginnings."""
 
-            def __missing__(self, word: str) -> str | None:
+            def __missing__(self, word: str) -> float:
                 if len(self) >= REMEMBERED:
                     self.clear()
-                self[word] = start = max((s for s in beginnings(word) if s in weights), key=lambda s: (weights[s], s), default=None)
-                return start
+                self[word] = weight = max((weights.get(s, 0.0) for s in beginnings(word)), default=0.0)
+                return weight
 
-        reader, starts = Reader(model.value), Starts()
+        reader, known = Reader(model.value), Weights()
         for batch in batches:
-            out = []
-            for text in batch.columns[-1].to_pylist():
-                found = set(map(starts.__getitem__, reader.words(text)))
-                found.discard(None)
-                out.append(min(MOST, math.fsum(weights[s] for s in found)))
+            out = [max(map(known.__getitem__, reader.words(text)), default=0.0) for text in batch.columns[-1].to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.float64())], [*batch.schema.names[:-1], "evidence"])
 
     return run
@@ -251,7 +245,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     read = evidence(model, lexicon)
     seen = labelled.select("toxic", "text").mapInArrow(read, "toxic int, evidence double")
     bins: dict[float, Counter] = {}
-    for r in seen.groupBy("toxic", F.round("evidence", 1).alias("x")).agg(F.count("*").alias("n")).collect():  # at most 10 * MOST bins
+    for r in seen.groupBy("toxic", F.round("evidence", 1).alias("x")).agg(F.count("*").alias("n")).collect():  # a weight is at most log(2 * SAMPLE)
         bins.setdefault(r.x, Counter())[r.toxic] = r.n
     slope, offset = regression([(x, n[0], n[1]) for x, n in sorted(bins.items())])
     scored = rows.mapInArrow(read, "doc_id long, evidence double")
