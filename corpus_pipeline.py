@@ -23,9 +23,11 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies, the one of the smallest doc_id; of equal rows one."""
     with_package(spark)
-    kept = minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_doc")).distinct()
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_doc"))).select(*docs.columns, F.xxhash64(whole_text()).alias("_text"))
-    return rows.dropDuplicates(["doc_id", "_text"]).select(*docs.columns)
+    kept = minhash.near_duplicates(docs).where("kept").groupBy(F.col("doc_id").alias("_doc")).agg(F.count("*").alias("_n"))
+    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_doc")))
+    # only rows that share a doc_id are compared with each other, so texts are shuffled once
+    several = rows.where("_n > 1").withColumn("_text", F.xxhash64(whole_text())).dropDuplicates(["doc_id", "_text"])
+    return rows.where("_n = 1").select(*docs.columns).unionByName(several.select(*docs.columns))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

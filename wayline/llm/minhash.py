@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from wayline.llm.common import whole_text, written
 from wayline.llm.graph import components
 
-COORDINATES = 64
+COORDINATES = 40
 MISSED = 1e-8
 CLUSTER = 64
 PIVOTS = 6
