@@ -18,7 +18,6 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
-from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -20,6 +22,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not _own_folder:
             _own_folder.append(tempfile.mkdtemp(prefix="wayline-"))
+            atexit.register(shutil.rmtree, _own_folder[0], ignore_errors=True)
         folder = f"file://{_own_folder[0]}"
     return folder.rstrip("/")
 
@@ -32,14 +35,6 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_written(df: DataFrame) -> None:
-    """Deletes the files of written()."""
-    spark = df.sparkSession
-    for name in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def whole_text(name: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(name), F.lit(""))
