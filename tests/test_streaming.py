@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 
@@ -13,6 +14,7 @@ def stream(spark, tmp_path):
     for k, part in enumerate((rows[:5], rows[5:])):
         lines = [json.dumps({"event_id": i, "ts": f"2024-01-01T00:{i:02}:00Z", "user_id": 1, "event_type": t, "value": 1.0, "props": "{}"}) for i, t in part]
         (source / f"{k}.json").write_text("\n".join(lines))
+        os.utime(source / f"{k}.json", (1_700_000_000 + k, 1_700_000_000 + k))  # files are read in order of their times
     return spark.readStream.schema(detectors.EVENTS).option("maxFilesPerTrigger", 1).json(str(source))
 
 
