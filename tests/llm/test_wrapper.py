@@ -51,3 +51,34 @@ def test_tree_matching():
 
 def test_no_rows(spark):
     assert texts(spark, []) == []
+
+
+def test_all_varying_parts_are_content(spark):
+    """A body in two containers, with the template's text between and in one page a container of its own."""
+    page = "<body><div id=top><p>template words</div><div id=lead><p>%s</div><div id=mid><p>template again</div><div id=body><p>%s</div>%s</body>"
+    rows = [(i, "http://s.example/%d" % i, page % (f"lead {i} " * 3, f"body {i} " * 7, "<div id=more><p>more of it</div>" * (i == 4))) for i in range(6)]
+    want = [(i, url, "\n\n".join([("lead %d " % i * 3).strip(), ("body %d " % i * 7).strip()] + ["more of it"] * (i == 4))) for i, url, _ in rows]
+    assert texts(spark, rows) == want
+    alone = page % ("lead " * 3, "body " * 7, "")
+    assert texts(spark, [(1, "http://t.example/", alone)])[0][2] == "template words\n\nlead lead lead\n\ntemplate again\n\nbody body body body body body body"
+
+
+def test_identical_pages_are_judged_like_one(spark):
+    html = "<body><div id=a><p>one</div><div id=b><div id=c><p>two two</div><div id=d><p>three</div></div></body>"
+    rows = [(i, "http://u.example/%d" % (i % 2), html) for i in (1, 1, 2, 3)]
+    assert [r[2] for r in texts(spark, rows)] == ["one\n\ntwo two\n\nthree"] * 4
+
+
+def test_copies_do_not_make_a_template(spark):
+    """Two copies share a container that the third page lacks."""
+    page = "<body><div id=a><p>%s</div>%s<div id=z><p>imprint</div></body>"
+    rows = [(i, "http://v.example/%d" % i, page % (x, y)) for i, (x, y) in enumerate([("p", "<div id=b><p>own part</div>")] * 2 + [("q", "")])]
+    assert [r[2] for r in texts(spark, rows)] == ["p\n\nown part"] * 2 + ["q"]
+
+
+def test_sibling_articles(spark):
+    for one, other in (("<article>", "</article>"), ("<div class=content>", "</div>")):
+        page = f"<body><div id=x><p>site</div>{one}<p>%s</p>{other}<div id=y><p>rule</div>{one}<p>%s</p>{other}</body>"
+        rows = [(i, "http://w.example/%d" % i, page % (f"first {i}", f"second {i}")) for i in range(3)]
+        assert [r[2] for r in texts(spark, rows)] == [f"first {i}\n\nsecond {i}" for i in range(3)]
+        assert texts(spark, rows[:1])[0][2] == "first 0\n\nsecond 0"

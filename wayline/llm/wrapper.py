@@ -2,12 +2,14 @@
 
 Pages of one host share a template. Every page is reduced to its tree of containers, with runs of equal
 siblings folded. The tree of a host's first page is the reference; every page's tree is aligned with it by
-simple tree matching, and for every node of the reference Spark counts over all pages of the host how much text
-it holds, how much of it is links, and whether the text varies. Nodes of constant text belong to the template;
-of the varying ones the slot of the article is chosen: one marked as an article, else the smallest one that
-holds most of the varying text. Its match in a page is the page's content, less the parts that are no article
-whatever they hold (menus, forms, adverts, comments ...). A page in which the slot has no match, and a host of
-one page, is judged on its own.
+simple tree matching, and for every node of the reference Spark tells over the host's pages whether its own text
+(outside the containers in it) varies. Text that two different pages share at one node is the template's. What
+varies is content, in however many containers it is. Nodes that only one page or copies of one page have, or that
+the reference lacks, tell nothing: they are content if marked as an article, and in a page without such marks.
+Of marked nodes all are content, whatever their text; where one holds others of a higher mark, its own text is
+content unless it is the template's. Parts that are no article whatever they hold (menus, forms, adverts,
+comments ...) are left out. A page that has nothing but the template's text is judged on its own, as is a host of
+one page or of copies of one.
 
 Cases: null and empty html give an empty text; a null url is a host of its own name, ''; repeated rows are pages
 like any others; unclosed tags end as HTML ends them; other columns are not read; an empty table gives an empty
@@ -28,7 +30,6 @@ from wayline.llm.dom import INLINE, RAW, Node, matching, parse
 
 #: Parts that pages of one host are dealt out in, so that none lands in one task.
 SALTS = 64
-MOST = 0.6
 
 # Elements and words of class, id or role that no article text has.
 NO_ARTICLE = RAW | frozenset("aside button dialog footer form head menu nav noscript object select svg template".split())
@@ -109,31 +110,43 @@ class Outline:
     def text(self, at: int) -> str:
         return "\n\n".join(self.blocks[slice(*self.spans[at])])
 
-    def held(self) -> tuple[list[int], list[int]]:
-        """Digest and size of the text of each container outside the containers in it."""
+    def owners(self) -> list[int]:
+        """The innermost container of each block."""
         owner = [0] * len(self.blocks)
         for k, (start, end) in enumerate(self.spans):
             owner[start:end] = [k] * (end - start)
+        return owner
+
+    def held(self) -> list[int]:
+        """Digest of the text of each container outside the containers in it."""
         own: list[list[str]] = [[] for _ in self.spans]
-        for k, block in zip(owner, self.blocks, strict=True):
+        for k, block in zip(self.owners(), self.blocks, strict=True):
             own[k].append(block)
         texts = ["\n\n".join(x) for x in own]
-        return [xxhash.xxh3_64_intdigest(t.encode("utf-8", "replace")) - (1 << 63) for t in texts], [len(t) for t in texts]
+        return [xxhash.xxh3_64_intdigest(t.encode("utf-8", "replace")) - (1 << 63) for t in texts]
 
 
-def slot(tree: list, varies: list[bool], sizes: list[int]) -> int:
-    """The node that holds the article."""
-    varying, total, path = [0] * len(tree), [0] * len(tree), []
+def content(tree: list, states: list[bool | None], filled: list[bool]) -> list[bool]:
+    """Whether each node's own text is content; states: whether it varies, None where pages do not tell."""
+    marked = [is_article(tag, frozenset(words)) for tag, *words in (label.split(".") for _, label in tree)]
+    path, best, up = [], [0] * len(tree), [-1] * len(tree)  # best: the highest mark in a node that has text
+    full = list(filled)
     for i, (depth, _) in enumerate(tree):
         path[depth:] = [i]
-        for up in path:
-            total[up] += sizes[i]
-            varying[up] += sizes[i] * varies[i]
-    marked = [is_article(tag, frozenset(words)) for tag, *words in (label.split(".") for _, label in tree)]
-    if any(rank and size for rank, size in zip(marked, total, strict=True)):
-        return max((i for i in range(len(tree)) if marked[i] and total[i]), key=lambda i: (marked[i], varying[i], total[i], -i))
-    most = MOST * max(varying, default=0)
-    return max((i for i in range(len(tree)) if varying[i] >= most), key=lambda i: (tree[i][0], varying[i], -i), default=0)
+        up[i] = path[depth - 1] if depth else -1
+    for i in reversed(range(len(tree))):
+        if full[i]:
+            best[i] = max(best[i], marked[i])
+        if up[i] >= 0:
+            full[up[i]], best[up[i]] = full[up[i]] or full[i], max(best[up[i]], best[i])
+    inside, whole = [False] * len(tree), [False] * len(tree)
+    for i in range(len(tree)):
+        mark = marked[i] > 0 and full[i]
+        inside[i] = mark or up[i] >= 0 and inside[up[i]]
+        whole[i] = mark and best[i] == marked[i] or up[i] >= 0 and whole[up[i]]
+    any_mark = any(whole)
+    out = [whole[i] or (state if state is not None else inside[i] or not any_mark) for i, state in enumerate(states)]
+    return out if any(x and y for x, y in zip(out, filled, strict=True)) else [True] * len(tree)
 
 
 def coded(tree: list[tuple[int, str]]) -> str:
@@ -153,42 +166,35 @@ def outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For mapInArrow: (host, page_id, html) -> the page's containers."""
     for batch in batches:
         pages = [Outline(parse(html)) for html in batch.column(2).to_pylist()]
-        digests, sizes = zip(*(page.held() for page in pages), strict=True) if pages else ([], [])
-        columns = [pa.array([coded(x.tree) for x in pages], pa.string()), pa.array(digests, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32()))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["host", "page_id", "tree", "digests", "sizes"])
+        columns = [pa.array([coded(x.tree) for x in pages], pa.string()), pa.array([x.held() for x in pages], pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["host", "page_id", "tree", "digests"])
 
 
 def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For mapInArrow: (host, tree, digests, sizes, reference) -> what a page's containers put into the reference's."""
+    """For mapInArrow: (host, tree, digests, page, reference) -> what a page's containers put into the reference's."""
     for batch in batches:
         rows = []
-        for host, tree, digests, sizes, reference in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            rows += [(host, j, digests[i], sizes[i]) for i, j in aligned(tree, reference).items()]
+        for host, tree, digests, page, reference in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            rows += [(host, j, digests[i], page) for i, j in aligned(tree, reference).items()]
         columns = list(zip(*rows, strict=True)) or [[], [], [], []]
-        kinds = (pa.string(), pa.int32(), pa.int64(), pa.int32())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["host", "node", "digest", "size"])
-
-
-def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For mapInArrow: (host, reference, nodes) -> the reference's slot."""
-    for batch in batches:
-        out = []
-        for reference, nodes in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            tree, of = decoded(reference), {x["node"]: x for x in nodes}
-            out.append(slot(tree, [i in of and of[i]["varies"] for i in range(len(tree))], [of[i]["size"] if i in of else 0 for i in range(len(tree))]))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.int32())], ["host", "reference", "slot"])
+        kinds = (pa.string(), pa.int32(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["host", "node", "digest", "page"])
 
 
 def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For mapInArrow: (page_id, url, html, reference, slot) -> the page's main text."""
+    """For mapInArrow: (page_id, url, html, reference, varying, constant) -> the page's main text."""
     for batch in batches:
         out = []
-        for html, reference, at in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True):
-            page = Outline(parse(html))
-            found = next((i for i, j in aligned(coded(page.tree), reference).items() if j == at), 0) if reference else 0
-            if not found:
-                found = slot(page.tree, [True] * len(page.tree), page.held()[1])
-            out.append(page.text(found))
+        for html, reference, *nodes in zip(*(batch.column(k).to_pylist() for k in range(2, 6)), strict=True):
+            page, states = Outline(parse(html)), {}
+            for j in nodes[0] or ():
+                states[j] = True
+            for j in nodes[1] or ():
+                states[j] = False
+            match, owners = aligned(coded(page.tree), reference) if reference else {}, page.owners()
+            owning = set(owners)
+            kept = content(page.tree, [states.get(match.get(i)) for i in range(len(page.tree))], [i in owning for i in range(len(page.tree))])
+            out.append("\n\n".join(block for k, block in zip(owners, page.blocks, strict=True) if kept[k]))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], ["page_id", "url", "text"])
 
 
@@ -196,15 +202,14 @@ def main_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text) of every row of pages(page_id, url, html)."""
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1)), F.lit(""))
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"))
-    seen = rows.select("host", "page_id", "html").mapInArrow(outlines, "host string, page_id long, tree string, digests array<long>, sizes array<int>")
+    seen = rows.select("host", "page_id", "html").mapInArrow(outlines, "host string, page_id long, tree string, digests array<long>")
     salt = lambda *names: F.pmod(F.xxhash64(*names), F.lit(SALTS)).cast("int")
     each = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     first = seen.groupBy("host").agg(F.min(F.struct("page_id", "tree")).getField("tree").alias("reference"))
-    pairs = seen.withColumn("salt", salt("page_id")).join(first.withColumn("salt", each), ["host", "salt"])
-    parts = pairs.select("host", "tree", "digests", "sizes", "reference").mapInArrow(held, "host string, node int, digest long, size int")
-    nodes = parts.groupBy("host", "node").agg((F.min("digest") < F.max("digest")).alias("differs"), F.count("*").alias("n"), F.sum("size").alias("size"))
-    nodes = nodes.select("host", F.struct("node", (F.col("differs") | (F.col("n") == 1)).alias("varies"), "size").alias("node"))
-    per_host = nodes.groupBy("host").agg(F.collect_list("node").alias("nodes")).join(first, "host").select("host", "reference", "nodes")
-    chosen = per_host.mapInArrow(slots, "host string, reference string, slot int").withColumn("salt", each)
+    pairs = seen.withColumn("page", F.xxhash64("tree", "digests")).withColumn("salt", salt("page_id")).join(first.withColumn("salt", each), ["host", "salt"])
+    parts = pairs.select("host", "tree", "digests", "page", "reference").mapInArrow(held, "host string, node int, digest long, page long")
+    nodes = parts.groupBy("host", "node").agg((F.min("digest") < F.max("digest")).alias("differs"), (F.min("page") < F.max("page")).alias("told"))
+    per_host = nodes.groupBy("host").agg(F.collect_list(F.when(F.col("differs"), F.col("node"))).alias("varying"), F.collect_list(F.when(~F.col("differs") & F.col("told"), F.col("node"))).alias("constant"))
+    chosen = per_host.join(first, "host").withColumn("salt", each)
     found = rows.withColumn("salt", salt("page_id", "url")).join(chosen, ["host", "salt"], "left")
-    return found.select("page_id", "url", "html", "reference", "slot").mapInArrow(contents, "page_id long, url string, text string")
+    return found.select("page_id", "url", "html", "reference", "varying", "constant").mapInArrow(contents, "page_id long, url string, text string")
