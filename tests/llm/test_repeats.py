@@ -86,3 +86,20 @@ def test_repeated_rows_and_no_rows(spark):
     docs = spark.createDataFrame([(1, "q" * 10 + "r" * 250), (1, "q" * 10 + "r" * 250)], "doc_id long, text string")
     assert [len(r.kept) for r in repeats.remove_repeats(docs).collect()] == [0, 0]
     assert repeats.remove_repeats(docs.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("length,batch,group", [(200, 1 << 19, 48), (64, 300, 4)])
+def test_null_and_repeated_ids_same_as_brute_force(spark, length, batch, group):
+    rows = corpus()
+    rows += [(len(rows), "only here " + rows[5][1][:400]), (len(rows) + 1, rows[160][1])]
+    name = lambda i: None if i % 3 == 0 else i % 5 if i % 3 == 1 else i
+    docs = spark.createDataFrame([(name(i), text) for i, text in rows], "doc_id long, text string")
+    got = repeats.remove_repeats(docs, length, group, batch).collect()
+    want = [(name(i), *rest) for i, *rest in brute(rows, length)]
+    assert sorted(((r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.spans], bytes(r.kept)) for r in got), key=str) == sorted(want, key=str)
+
+
+def test_null_ids_meet_each_other_and_others(spark):
+    shared = "".join(chr(97 + i * i % 23 + i % 3) for i in range(300))
+    docs = spark.createDataFrame([(None, "p" + shared), (None, "q" + shared), (7, "r" + shared), (None, "p" + shared)], "doc_id long, text string")
+    assert sorted(bytes(r.kept) for r in repeats.remove_repeats(docs).collect()) == [b"", b"", b"q", b"r"]

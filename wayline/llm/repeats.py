@@ -9,8 +9,8 @@ Lyndon groups (suffixes.py), where equal windows are neighbours.
 Groups of more than GROUP different stretches are divided further, by whole windows instead of their anchors.
 
 Cases: null and empty texts and texts shorter than a window lose nothing; equal rows are occurrences of each
-other, and each is returned; matches may overlap; texts of one repeated letter work as any others; other
-columns are not read; an empty table gives an empty result.
+other, and each is returned; texts with a null doc_id are occurrences like any others; matches may overlap; texts
+of one repeated letter work as any others; other columns are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -96,8 +96,8 @@ def unpacked(place: int) -> tuple[int, int, int]:
 
 
 def anchored(length: int, most: int):
-    """For mapInArrow: (doc_id, hash, text as bytes) -> stretches."""
-    names = ["anchor", "same", "doc_id", "hash", "place"]
+    """For mapInArrow: (doc, hash, text as bytes) -> stretches."""
+    names = ["anchor", "same", "doc", "hash", "place"]
 
     def emit(ids: list, hashes: list, texts: list[bytes]):
         data, bounds = b"".join(texts), np.cumsum([0, *map(len, texts)])
@@ -138,12 +138,12 @@ def anchored(length: int, most: int):
     return run
 
 
-STRETCH = "anchor long, same long, doc_id long, hash int, place long"
+STRETCH = "anchor long, same long, doc long, hash int, place long"
 
 
 def fetched(length: int):
-    """For mapInArrow: (doc_id, hash, text as bytes, stretches) -> the stretches with their bytes."""
-    schema = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("hash", pa.int32()), ("place", pa.int64()), ("once", pa.bool_()), ("many", pa.bool_()), ("part", pa.binary())])
+    """For mapInArrow: (doc, hash, text as bytes, stretches) -> the stretches with their bytes."""
+    schema = pa.schema([("anchor", pa.int64()), ("doc", pa.int64()), ("hash", pa.int32()), ("place", pa.int64()), ("once", pa.bool_()), ("many", pa.bool_()), ("part", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,7 +151,7 @@ def fetched(length: int):
                 rows = []
                 for x in found:
                     lo, more, _ = unpacked(x["place"])
-                    rows.append({"doc_id": doc, "hash": key, **x, "part": text[lo : lo + more + length]})
+                    rows.append({"doc": doc, "hash": key, **x, "part": text[lo : lo + more + length]})
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     return run
@@ -191,7 +191,7 @@ def sorted_groups(length: int):
     def out(rows: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*rows, strict=True)) or [[], [], [], []]
         kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "hash", "start", "end"])
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc", "hash", "start", "end"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, group = None, []
@@ -210,12 +210,12 @@ def sorted_groups(length: int):
 
 def by_window(length: int):
     """For mapInArrow: stretches -> a digest of every window with its anchor's place in it."""
-    names = ["window", "doc_id", "hash", "start", "once"]
+    names = ["window", "doc", "hash", "start", "once"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, key, place, once, part in zip(*(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in ("doc_id", "hash", "place", "once", "part")), strict=True):
+            for doc, key, place, once, part in zip(*(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in ("doc", "hash", "place", "once", "part")), strict=True):
                 lo, view = unpacked(place)[0], memoryview(part)
                 rows += [(xxhash.xxh3_128_digest(view[i : i + length]), doc, key, lo + i, once) for i in range(len(part) - length + 1)]
             columns = list(zip(*rows, strict=True)) or [[], [], [], [], []]
@@ -250,28 +250,29 @@ def remove_repeats(docs: DataFrame, length: int = 200, group: int = GROUP, batch
     if not GRAM + NEAR <= length <= GRAM + 255:
         raise ValueError(f"length must be from {GRAM + NEAR} to {GRAM + 255}")
     rows = docs.select("doc_id", whole_text().alias("text"))
-    rows = rows.select("doc_id", F.hash("text").alias("hash"), F.col("text").cast("binary").alias("text"))
-    long = rows.where(F.length("text") >= length)
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))  # never null: texts are told by it and their hash
+    rows = rows.select("doc_id", doc.alias("doc"), F.hash("text").alias("hash"), F.col("text").cast("binary").alias("text"))
+    long = rows.where(F.length("text") >= length).select("doc", "hash", "text")
     found = written(long.mapInArrow(anchored(length, batch), STRETCH))
     # what is joined is written first: Spark can then divide the many stretches of one anchor among tasks
     often = written(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
     met = written(found.join(often, "anchor"))
-    kinds = written(met.groupBy("anchor", "same").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")))
+    kinds = written(met.groupBy("anchor", "same").agg(F.count("*").alias("n"), F.min("doc").alias("doc")))
     mixed = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.max(F.col("n") == 1).alias("single"))
     mixed = written(mixed.where("kinds > 1 and single").select("anchor", (F.col("kinds") > group).alias("many")))
     lo, more = F.shiftright("place", 16).cast("int"), F.shiftright("place", 8).bitwiseAND(255).cast("int")
     copied = met.join(kinds.where("n > 1").select("anchor", "same"), ["anchor", "same"])
-    whole = copied.select("doc_id", "hash", lo.alias("start"), (lo + more + length).alias("end"))
-    wanted = kinds.join(mixed, "anchor").select("anchor", "same", "doc_id", (F.col("n") == 1).alias("once"), "many")
-    wanted = met.join(wanted, ["anchor", "same", "doc_id"])
-    per_text = wanted.groupBy("doc_id", "hash").agg(F.collect_list(F.struct("anchor", "place", "once", "many")).alias("found"))
-    parts = rows.join(per_text, ["doc_id", "hash"]).select("doc_id", "hash", "text", "found")
-    parts = written(parts.mapInArrow(fetched(length), "anchor long, doc_id long, hash int, place long, once boolean, many boolean, part binary"))
-    few = parts.where("not many").select("anchor", "doc_id", "hash", "place", "once", "part")
-    some = few.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(sorted_groups(length), "doc_id long, hash int, start int, end int")
-    windows = written(parts.where("many").mapInArrow(by_window(length), "window binary, doc_id long, hash int, start int, once boolean"))
+    whole = copied.select("doc", "hash", lo.alias("start"), (lo + more + length).alias("end"))
+    wanted = kinds.join(mixed, "anchor").select("anchor", "same", "doc", (F.col("n") == 1).alias("once"), "many")
+    wanted = met.join(wanted, ["anchor", "same", "doc"])
+    per_text = wanted.groupBy("doc", "hash").agg(F.collect_set(F.struct("anchor", "place", "once", "many")).alias("found"))
+    parts = rows.join(per_text, ["doc", "hash"]).select("doc", "hash", "text", "found")
+    parts = written(parts.mapInArrow(fetched(length), "anchor long, doc long, hash int, place long, once boolean, many boolean, part binary"))
+    few = parts.where("not many").select("anchor", "doc", "hash", "place", "once", "part")
+    some = few.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(sorted_groups(length), "doc long, hash int, start int, end int")
+    windows = written(parts.where("many").mapInArrow(by_window(length), "window binary, doc long, hash int, start int, once boolean"))
     twice = windows.groupBy("window").agg(F.count("*").alias("n"), F.max("once").alias("once")).where("n > 1 and once").select("window")
-    rest = windows.where("once").join(written(twice), "window").select("doc_id", "hash", "start", (F.col("start") + length).alias("end"))
-    spans = whole.unionByName(some).unionByName(rest).groupBy("doc_id", "hash").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    out = rows.join(spans, ["doc_id", "hash"], "left").select("doc_id", "text", "spans")
+    rest = windows.where("once").join(written(twice), "window").select("doc", "hash", "start", (F.col("start") + length).alias("end"))
+    spans = whole.unionByName(some).unionByName(rest).groupBy("doc", "hash").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    out = rows.join(spans, ["doc", "hash"], "left").select("doc_id", "text", "spans")
     return out.mapInArrow(without, "doc_id long, n_bytes long, spans array<struct<start int, end int>>, kept binary")
