@@ -79,3 +79,28 @@ def test_components(spark):
 def test_collision_threshold():
     assert minhash.matches(100) == minhash.COORDINATES
     assert minhash.matches(80) < minhash.matches(85) < 40
+
+
+def test_null_ids_are_linked_like_others(spark):
+    words = [f"w{i}" for i in range(120)]
+    text = lambda *changed: " ".join(f"x{i}" if i in changed else w for i, w in enumerate(words))
+    other = " ".join(f"y{i}" for i in range(60))
+    near = [(7, text()), (None, text(3))]
+    bridge = [(5, other + " " + text(0)), (None, other + " " + text()), (9, other + " " + text(119)), (9, text(3) + " alone " * 80)]
+    lone = [(None, " ".join(f"z{i}" for i in range(90))), (None, " ".join(f"z{i}" for i in range(91)))]
+    chain = [(20, text(*range(0, 4)) + other[:30]), (None, text(*range(2, 4)) + other[:30]), (21, text() + other[:30])]
+    for rows in (near, near + bridge, near + bridge + lone, chain):
+        named = [(1000 + i if doc is None else doc, t) for i, (doc, t) in enumerate(rows)]
+        want = {(n, c if c < 1000 else None) for _, n, c, _ in brute(named, 3, 85)}
+        got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
+        assert {(r.n_shingles, r.component_id) for r in got} == want
+    assert {r.component_id for r in near_duplicates(spark.createDataFrame(near, "doc_id long, text string"), 3, 85).collect()} == {7}
+
+
+def test_a_null_id_bridge(spark):
+    """Two documents that are no near copies of each other, and one without an id that is of both."""
+    words = [f"w{i}" for i in range(200)]
+    text = lambda a, b: " ".join(words[a:b])
+    docs = spark.createDataFrame([(5, text(0, 180)), (None, text(10, 190)), (9, text(20, 200))], "doc_id long, text string")
+    assert sorted((r.component_id, r.kept) for r in near_duplicates(docs, 3, 85).collect()) == [(5, False), (5, False), (5, True)]
+    assert len({r.component_id for r in near_duplicates(docs.where("doc_id is not null"), 3, 85).collect()}) == 2

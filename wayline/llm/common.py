@@ -38,3 +38,8 @@ def written(df: DataFrame) -> DataFrame:
 def whole_text(name: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(name), F.lit(""))
+
+
+def row_key() -> Column:
+    """A number, never null, that tells a row by its doc_id and whole text."""
+    return F.xxhash64(F.col("doc_id").cast("long"), whole_text())

@@ -15,7 +15,7 @@ probability below MISSED; no other step misses a link.
 
 Cases: null, empty and blank texts have an empty set and are linked with nothing; with fewer words than a
 shingle the whole sequence is the one shingle; repeated rows are copies of each other and each is returned;
-a null doc_id never names a component unless it is the only one there; other columns are not read; an empty
+rows with a null doc_id are linked like any others, but a null never names a component unless it is the only one there; other columns are not read; an empty
 table gives an empty result.
 """
 
@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayline.llm.common import whole_text, written
+from wayline.llm.common import row_key, whole_text, written
 from wayline.llm.graph import components
 
 COORDINATES = 40
@@ -103,18 +103,19 @@ def set_key(shingles: np.ndarray) -> bytes | None:
 
 
 def signed(width: int):
-    """For mapInArrow: (doc_id, text as bytes) -> size and key of the set, signature."""
+    """For mapInArrow: (doc_id, row, text as bytes) -> size and key of the set, signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingles(width)
         for batch in batches:
             sizes, keys, tokens = [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(2).to_pylist():
                 found = shingle(text)
                 sizes.append(len(found))
                 keys.append(set_key(found))
                 tokens.append(signature(found) if len(found) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(tokens, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "node", "tokens"])
+            columns = [pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(tokens, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "row", "n_shingles", "node", "tokens"])
 
     return run
 
@@ -141,7 +142,7 @@ class Compared:
         sets = {}
         for node, text in zip(nodes, texts, strict=True):
             node, found = bytes(node), shingle(text.encode())
-            if set_key(found) == node:  # another row may have the same doc_id and another text
+            if set_key(found) == node:  # another row may have the same key and another text
                 sets[node] = found
         self.nodes = sorted(sets, key=lambda x: (len(sets[x]), x))
         self.sets = [sets[x] for x in self.nodes]
@@ -224,25 +225,45 @@ def confirmed(members: DataFrame, width: int, percent: int) -> DataFrame:
     return components(edges.unionByName(first).unionByName(second))
 
 
+def classes(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(doc_id, row, n_shingles, component_id, root) of every row of docs(doc_id, text): row is its row_key, root tells
+    its component whatever ids are in it, null for an empty set."""
+    rows = docs.select("doc_id", row_key().alias("row"), whole_text().alias("text"))
+    signatures = rows.select("doc_id", "row", F.col("text").cast("binary")).mapInArrow(signed(width), "doc_id long, row long, n_shingles long, node binary, tokens array<long>")
+    found = written(signatures)
+    nodes = found.where("node is not null").groupBy("node").agg(F.first("tokens").alias("tokens"))
+    clusters = components(stars(nodes, matches(percent))).select("node", F.col("root").alias("cluster"))
+    sizes = clusters.groupBy("cluster").agg(F.count("*").alias("size"))
+    of_node = found.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row"))
+    members = clusters.join(sizes, "cluster").join(of_node.select("node", "row"), "node")
+    # equal rows have one key, so only one text of them goes on
+    members = members.join(rows.select("row", "text"), "row").dropDuplicates(["row", "node", "text"])
+    members = written(members.select("cluster", "size", "node", "text"))
+    roots = confirmed(members, width, percent)
+    named = of_node.select("node", "doc_id").join(roots, "node")
+    names = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    linked = named.join(names, "root").select("node", "root", "component_id")
+    own = of_node.select("node", "doc_id").join(linked, "node", "left")
+    own = own.select("node", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("root", "node").alias("root"))
+    out = found.select("doc_id", "row", "n_shingles", "node").join(own, "node", "left")
+    return out.select("doc_id", "row", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "root")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of docs(doc_id, text).
 
     Rows are linked where 100 * |intersection| >= percent * |union| of their distinct shingles of `width` words;
     component_id is the smallest doc_id that links reach.
     """
-    rows = docs.select("doc_id", whole_text().alias("text"))
-    found = written(rows.select("doc_id", F.col("text").cast("binary")).mapInArrow(signed(width), "doc_id long, n_shingles long, node binary, tokens array<long>"))
-    nodes = found.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc"), F.first("tokens").alias("tokens"))
-    clusters = components(stars(nodes, matches(percent))).select("node", F.col("root").alias("cluster"))
-    sizes = clusters.groupBy("cluster").agg(F.count("*").alias("size"))
-    of_node = found.select("node", "doc_id").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    members = clusters.join(sizes, "cluster").join(of_node, "node")
-    members = written(members.join(rows, "doc_id").select("cluster", "size", "node", "text"))
-    roots = confirmed(members, width, percent)
-    named = of_node.where("node is not null").join(roots, "node")
-    names = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    classes = named.join(names, "root").select("node", "component_id")
-    own = of_node.where("node is not null").join(classes, "node", "left").select("node", F.coalesce("component_id", "doc_id").alias("component_id"))
-    out = found.select("doc_id", "n_shingles", "node").join(own, "node", "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    out = classes(docs, width, percent).select("doc_id", "n_shingles", "component_id")
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def representatives(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, row, n) of one row of each class of near copies: of the smallest doc_id, a null after all others, and
+    of the smallest row_key; n rows of docs are equal to it. Of rows with an empty set equal ones are a class."""
+    alone = F.col("root").isNull()
+    each = classes(docs, width, percent).select("root", F.when(alone, F.col("row")).alias("single"), F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
+    each = each.groupBy(*each.columns).agg(F.count("*").alias("n"))
+    least = F.min(F.struct("unnamed", "doc_id", "row", "n")).alias("x")
+    return each.groupBy("root", "single").agg(least).select("x.doc_id", "x.row", "x.n")
