@@ -3,30 +3,35 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayline.llm import bpe, minhash, mixing, secrets, toxicity
-from wayline.llm.common import whole_text, written
+from wayline.llm.common import row_key, written
 from wayline.session import table, with_package
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+def same_row(docs: DataFrame, decided: DataFrame) -> Column:
+    """Whether a row of docs is the one that decided(_doc, _row) names."""
+    return (row_key() == decided["_row"]) & docs["doc_id"].eqNullSafe(decided["_doc"])
+
+
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose score is below one half; rows without a doc_id stay."""
-    scores = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
-    rejected = scores.where("score >= 0.5").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    """Rows whose score is below one half."""
+    scores = toxicity.scored(docs, table(spark, sf_dir, "labels"))
+    rejected = scores.where("score >= 0.5").select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row")).distinct()
+    return docs.join(rejected, same_row(docs, rejected), "left_anti").select(*docs.columns)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies, the one of the smallest doc_id; of equal rows one."""
+    """One row of each class of near copies, one of the smallest doc_id; of equal rows one."""
     with_package(spark)
-    kept = minhash.near_duplicates(docs).where("kept").groupBy(F.col("doc_id").alias("_doc")).agg(F.count("*").alias("_n"))
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_doc")))
-    # only rows that share a doc_id are compared with each other, so texts are shuffled once
-    several = rows.where("_n > 1").withColumn("_text", F.xxhash64(whole_text())).dropDuplicates(["doc_id", "_text"])
+    kept = minhash.representatives(docs).toDF("_doc", "_row", "_n")
+    rows = docs.join(kept, same_row(docs, kept))
+    # only equal rows are compared with each other, so texts are shuffled once
+    several = rows.where("_n > 1").dropDuplicates(["_doc", "_row"])
     return rows.where("_n = 1").select(*docs.columns).unionByName(several.select(*docs.columns))
 
 

@@ -76,3 +76,23 @@ def test_each_stage_does_its_work(spark, folder):
 
 def test_run_is_the_stages_in_turn(spark, folder):
     assert corpus_pipeline.run(spark, folder).count() > 300
+
+
+def test_decisions_take_effect_row_by_row(spark, folder):
+    """Null and repeated ids with different texts."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    word = lambda name, n=60: " ".join(f"{name}{i}" for i in range(n))
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    more = [(None, "river stone idiot scum"), (None, "garden market paper"), (0, "only window letter"), (0, "motor idiot scum")]
+    docs = docs.unionByName(spark.createDataFrame([(*r, "en", "s0", 1) for r in more], schema))
+    clean = {(r.doc_id, r.text) for r in corpus_pipeline.clean(spark, docs, folder).collect()}
+    assert set(more) & clean == {more[1], more[2]}
+
+    rows = [(3, word("a")), (7, word("b")), (7, word("a") + " end"), (8, word("c")), (8, word("c") + " end"), (8, word("c")), (None, word("d")), (None, word("d") + " end")]
+    rows += [(None, word("a") + " fin"), (None, word("e")), (None, word("e")), (None, ""), (None, ""), (None, None), (4, ""), (4, "  ")]
+    found = corpus_pipeline.distinct(spark, spark.createDataFrame([(*r, "en", "s0", 1) for r in rows], schema), folder).collect()
+    kept = [(r.doc_id, r.text) for r in found]
+    assert [x for x in kept if x[0] is not None and x[1].strip() and x[0] != 8] in ([rows[0], rows[1]], [rows[1], rows[0]])
+    assert len([x for x in kept if x[0] == 8]) == 1
+    assert sorted(x[1][:1] for x in kept if x[0] is None and x[1]) == ["d", "e"]
+    assert sorted(x[1] for x in kept if x[0] == 4) == ["", "  "] and len([x for x in kept if x[0] is None and not x[1]]) == 1

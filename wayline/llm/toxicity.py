@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayline.llm.common import whole_text, written
+from wayline.llm.common import row_key, whole_text, written
 
 #: Labelled rows that the lexicon and the regression are fitted on at most.
 SAMPLE = 20_000
@@ -222,8 +222,13 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, score) of every row of docs(doc_id, text), from labels(doc_id, toxic)."""
+    return scored(docs, labels).select("doc_id", "score")
+
+
+def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, row, score) of every row of docs(doc_id, text), row being its row_key."""
     spark = docs.sparkSession
-    rows = docs.select("doc_id", whole_text().alias("text"))
+    rows = docs.select("doc_id", row_key().alias("row"), whole_text().alias("text"))
     told = labels.where("doc_id is not null and toxic is not null").where(~held_out())
     told = told.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     # SAMPLE rows of two numbers: a bound that does not grow
@@ -233,7 +238,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
     if not clean or not toxic:
         share = toxic / max(1, clean + toxic)
-        return rows.select("doc_id", F.lit(float(share)).alias("score"))
+        return rows.select("doc_id", "row", F.lit(float(share)).alias("score"))
     model = spark.sparkContext.broadcast(language_model(rows))
     counts = labelled.mapInArrow(counted(model), "start string, clean long, toxic long").groupBy("start").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     share, here = F.lit(toxic / (clean + toxic)), F.col("toxic") / (F.col("clean") + F.col("toxic"))
@@ -248,5 +253,5 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     for r in seen.groupBy("toxic", F.round("evidence", 1).alias("x")).agg(F.count("*").alias("n")).collect():  # a weight is at most log(2 * SAMPLE)
         bins.setdefault(r.x, Counter())[r.toxic] = r.n
     slope, offset = regression([(x, n[0], n[1]) for x, n in sorted(bins.items())])
-    scored = rows.mapInArrow(read, "doc_id long, evidence double")
-    return scored.select("doc_id", (1 / (1 + F.exp(-(F.col("evidence") * slope + offset)))).alias("score"))
+    out = rows.mapInArrow(read, "doc_id long, row long, evidence double")
+    return out.select("doc_id", "row", (1 / (1 + F.exp(-(F.col("evidence") * slope + offset)))).alias("score"))
