@@ -31,10 +31,22 @@ def absolute_url(base: pd.Series, href: pd.Series) -> pd.Series:
     return pd.Series([None if b is None or h is None else join(b, h) for b, h in zip(base, href, strict=True)])
 
 
-@F.pandas_udf("double")
-def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    """The ratio of matching blocks, from 0 to 1."""
-    return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y, autojunk=False).ratio() for x, y in zip(a, b, strict=True)])
+@F.pandas_udf("boolean")
+def alike(left: pd.Series, right: pd.Series) -> pd.Series:
+    """Whether whole texts are equal or have a ratio of matching blocks above 0.9, whatever their case and white space."""
+
+    def same(a: str | None, b: str | None) -> bool:
+        if a is None or b is None:
+            return False
+        a, b = (" ".join(t.casefold().split()) for t in (a, b))
+        if a == b or not a or not b:
+            return a == b
+        if 2 * min(len(a), len(b)) / (len(a) + len(b)) <= 0.9:
+            return False
+        matcher = SequenceMatcher(None, a, b)
+        return matcher.quick_ratio() > 0.9 and matcher.ratio() > 0.9
+
+    return pd.Series([same(a, b) for a, b in zip(left, right, strict=True)], dtype=bool)
 
 
 @F.pandas_udf("string")

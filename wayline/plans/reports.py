@@ -302,12 +302,12 @@ query()(g6_absolute_links)
 
 def w9_similar_runs(spark, sf_dir):
     """The longest run of neighbouring messages of one role that are alike; no SQL has the ratio of matching blocks."""
-    from wayline.functions.python import similarity
+    from wayline.functions.python import alike
 
     w = W.partitionBy("conv_id").orderBy("turn")
-    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.substring("text", 1, 200).alias("head"))
-    rows = rows.withColumn("before", F.lag("head").over(w)).withColumn("last_role", F.lag("role").over(w))
-    rows = rows.withColumn("alike", F.coalesce((F.col("role") == F.col("last_role")) & (similarity("head", "before") > 0.9), F.lit(False)))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumn("before", F.when(F.col("role") == F.lag("role").over(w), F.lag("text").over(w)))
+    rows = rows.select("conv_id", "turn", alike("before", "text").alias("alike"))
     runs = sequence.islands(rows, ["conv_id"], ["turn"], F.sum((~F.col("alike")).cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0)))
     return runs.groupBy("conv_id").agg((F.max("place") + 1).alias("longest"))
 
