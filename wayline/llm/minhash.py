@@ -3,12 +3,16 @@
 Equal shingle sets are one node. A node is posted under its (coordinate, value) pairs; pairs that one node
 alone holds are left out, and with them every node that has fewer than MATCHES left. The rest are ordered from
 rare to frequent: two nodes that agree in MATCHES coordinates share a pair among the first (held - MATCHES + 1)
-of either, so only those prefixes are merged and the long lists at the end are skipped. Nodes of one prefix list
-join its smallest node; components of these stars are clusters, and no link crosses a cluster. Inside a cluster,
-collisions are counted for pairs that are not yet connected, and pairs above the threshold are confirmed on
-their full sets. A cluster of up to CLUSTER nodes is one group. A larger one is dealt out in blocks and compared
-with a few pivots first; every node outside the largest component that these leave is then compared with all
-blocks, so no link is lost and no task holds the cluster.
+of either, so only those prefixes are merged and the long lists at the end are skipped.
+
+1. Of every prefix list the node whose pairs are the most frequent ones is the head: in a group of near copies,
+   the text the others come from. Collisions of every node with the heads of its lists are counted, those above
+   the threshold are confirmed on full sets, and the links contracted. That takes as many rows as there are postings.
+2. Nodes of lists that still hold several components are posted once more, now under their shingles themselves
+   and by the same rule: rare to frequent, the prefix beyond which the similarity asked for cannot be reached. What
+   documents have in common without being near copies (passages, lines) is at the skipped end. In every list the
+   nodes outside its largest component are compared with those of other components, in blocks of BLOCK nodes.
+   Pairs above the collision threshold are confirmed as before.
 
 MATCHES is the largest count of COORDINATES that pairs at the similarity asked for fall short of with a
 probability below MISSED; no other step misses a link.
@@ -25,7 +29,6 @@ from collections.abc import Iterator
 from math import comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -36,8 +39,8 @@ from wayline.llm.graph import components
 
 COORDINATES = 40
 MISSED = 1e-8
-CLUSTER = 64
-PIVOTS = 6
+#: Nodes of a list, or partners of a head, that are compared at a time.
+BLOCK = 64
 #: Distinct words whose hashes a worker remembers; beyond it the memory starts anew.
 REMEMBERED = 500_000
 
@@ -120,109 +123,150 @@ def signed(width: int):
     return run
 
 
-class Forest(dict):
-    """Union-find."""
-
-    def root(self, x):
-        while (up := self.get(x, x)) != x:
-            self[x] = x = self.get(up, up)
-        return x
-
-    def join(self, a, b) -> bool:
-        a, b = self.root(a), self.root(b)
-        if a != b:
-            self[max(a, b)] = min(a, b)
-        return a != b
-
-
-class Compared:
-    """Texts of nodes, as sets and signatures; links() finds a forest of the links among them."""
-
-    def __init__(self, nodes: pd.Series, texts: pd.Series, shingle: Shingles):
-        sets = {}
-        for node, text in zip(nodes, texts, strict=True):
-            node, found = bytes(node), shingle(text.encode())
-            if set_key(found) == node:  # another row may have the same key and another text
-                sets[node] = found
-        self.nodes = sorted(sets, key=lambda x: (len(sets[x]), x))
-        self.sets = [sets[x] for x in self.nodes]
-        self.sizes = np.array([len(x) for x in self.sets], dtype=np.int64)
-        self.signatures = np.array([signature(x) for x in self.sets], dtype=np.int64).reshape(len(self.sets), COORDINATES)
-
-    def links(self, other: Compared, percent: int) -> list[tuple[bytes, bytes]]:
-        out, forest, least = [], Forest(), matches(percent)
-        for i, node in enumerate(other.nodes):
-            size = other.sizes[i]
-            low = np.searchsorted(self.sizes, -(-size * percent // 100))
-            high = np.searchsorted(self.sizes, size * 100 // percent, side="right")
-            equal = (self.signatures[low:high] == other.signatures[i]).sum(axis=1)
-            near = np.flatnonzero(equal >= least)
-            for j in low + near[np.argsort(-equal[near], kind="stable")]:
-                if forest.root(node) == forest.root(self.nodes[j]):
+def prefixes(posted: DataFrame, need: DataFrame) -> DataFrame:
+    """(token, node, weight) of the prefixes of posted(node, token): of the tokens that other nodes hold too, the rarest,
+    as many as leave need - 1 of need(node, need). weight tells how frequent a node's tokens are."""
+    held = posted.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
+    held = posted.join(held, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("held"), F.sum(F.log2("n")).alias("weight"))
+    held = held.join(need, "node").where(F.size("held") >= F.col("need"))
+    first = F.slice("held.token", F.lit(1), F.size("held") - F.col("need") + 1)
+    return held.select("node", "weight", F.explode(first).alias("token"))
+
+
+def same_block(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[bool, pa.RecordBatch]]:
+    """Batches of sorted rows cut where one of the first `keys` columns changes, and whether a new block begins."""
+    last = None
+    for batch in batches:
+        rows = list(zip(*(c.to_pylist() for c in batch.columns[:keys]), strict=True))
+        start = 0
+        for i in range(1, len(rows) + 1):
+            if i == len(rows) or rows[i] != rows[start]:
+                yield rows[start] != last, batch.slice(start, i - start)
+                last, start = rows[start], i
+
+
+def pairs_of(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], ["a", "b"])
+
+
+def crossing(least: int):
+    """For mapInArrow: (token, block, asks, node, root, tokens), sorted -> pairs of an asking node and one of the block that
+    have different roots and agree in `least` coordinates."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nodes, roots, known, found = [], [], [], []
+        for new, part in same_block(batches, 2):
+            if new:
+                nodes, roots, known = [], [], []
+            signatures = part.column(5).flatten().to_numpy().reshape(-1, COORDINATES)
+            for asks, node, root, mine in zip(*(part.column(k).to_pylist() for k in (2, 3, 4)), signatures, strict=True):
+                if not asks:
+                    nodes.append(node)
+                    roots.append(root)
+                    known.append(mine)
                     continue
-                shared = len(np.intersect1d(self.sets[j], other.sets[i], assume_unique=True))
-                if 100 * shared >= percent * (self.sizes[j] + size - shared):
-                    forest.join(node, self.nodes[j])
-                    out.append((node, self.nodes[j]))
-        return out
+                if isinstance(known, list):
+                    known = np.stack(known) if known else np.empty((0, COORDINATES), dtype=np.int64)
+                near = np.flatnonzero((known == mine).sum(axis=1) >= least)
+                found += [(node, nodes[i]) for i in near if roots[i] != root]
+            if len(found) > 10_000:
+                yield pairs_of(found)
+                found = []
+        yield pairs_of(found)
 
+    return run
 
-def frame(pairs: list[tuple[bytes, bytes]]) -> pd.DataFrame:
-    return pd.DataFrame(pairs, columns=["a", "b"])
 
+def confirming(width: int, percent: int):
+    """For mapInArrow: (b, part, partner, node, text), sorted -> pairs (partner, b) that are similar enough."""
 
-def stars(nodes: DataFrame, least: int) -> DataFrame:
-    """Edges (a, b) from every node to the smallest node of each of its prefix lists."""
-    posted = nodes.select("node", F.explode("tokens").alias("token"))
-    held = posted.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
-    held = posted.join(held, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("held"))
-    held = held.where(F.size("held") >= least)
-    prefix = written(held.select("node", F.explode(F.slice("held.token", F.lit(1), F.size("held") - least + 1)).alias("token")))
-    heads = prefix.groupBy("token").agg(F.min("node").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return prefix.join(heads, "token").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle, head = Shingles(width), None
+        for new, part in same_block(batches, 2):
+            head, found = None if new else head, []
+            for b, partner, node, text in zip(*(part.column(k).to_pylist() for k in (0, 2, 3, 4)), strict=True):
+                mine = shingle(text)
+                if set_key(mine) != node:  # another row may have the same key and another text
+                    continue
+                if not partner:
+                    head = mine
+                    continue
+                shared = len(np.intersect1d(head, mine, assume_unique=True)) if head is not None else 0
+                if 100 * shared >= percent * (len(head) + len(mine) - shared if shared else 1):
+                    found.append((node, b))
+            yield pairs_of(found)
 
+    return run
 
-def confirmed(members: DataFrame, width: int, percent: int) -> DataFrame:
-    """(node, root) of the nodes of members(cluster, size, node, text) that have a link."""
 
-    def alone(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = Compared(pdf["node"], pdf["text"], Shingles(width))
-        return frame(own.links(own, percent))
+def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs(a, b) whose texts(node, text) are similar enough; partners of one node are dealt out in parts."""
+    many = pairs.groupBy("b").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    dealt = written(pairs.join(many, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part")))
+    heads = dealt.select("b", "part").distinct().select("b", "part", F.lit(False).alias("partner"), F.col("b").alias("node"))
+    rows = dealt.select("b", "part", F.lit(True).alias("partner"), F.col("a").alias("node")).unionByName(heads)
+    rows = rows.join(texts, "node").select("b", "part", "partner", "node", F.col("text").cast("binary").alias("text"))
+    rows = rows.repartition("b", "part").sortWithinPartitions("b", "part", "partner")
+    return rows.mapInArrow(confirming(width, percent), "a binary, b binary")
 
-    def against(block: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+
+def colliding(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
+    """The pairs(a, b) whose signatures in nodes(node, tokens) agree in `least` coordinates."""
+    of = lambda name: nodes.select(F.col("node").alias(name), F.col("tokens").alias(f"{name}_tokens"))
+    both = pairs.join(of("a"), "a").join(of("b"), "b")
+    return both.where(F.size(F.array_intersect("a_tokens", "b_tokens")) >= least).select("a", "b")
+
+
+def with_roots(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """nodes(node, ...) with the root of each under links(a, b)."""
+    return nodes.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def shingled(width: int, percent: int):
+    """For mapInArrow: (node, text as bytes) -> its shingles, and how many of them a similar node shares at least."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingles(width)
-        return frame(Compared(block["node"], block["text"], shingle).links(Compared(others["node"], others["text"], shingle), percent))
-
-    edges = members.where(F.col("size") <= CLUSTER).groupBy("cluster").applyInPandas(alone, "a binary, b binary")
-    large = members.where(F.col("size") > CLUSTER)
-    sizes = large.groupBy("cluster").agg(F.first("size").alias("size"))
-    if not sizes.take(1):
-        return components(edges)
-    blocks = F.ceil(F.col("size") / CLUSTER).cast("int")
-    dealt = large.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-
-    def compare(chosen: DataFrame) -> DataFrame:
-        """Links of chosen(cluster, node) with all nodes of their clusters, block by block of either side."""
-        many = chosen.groupBy("cluster").agg(F.ceil(F.count("*") / CLUSTER).cast("int").alias("sides"))
-        right = large.join(chosen, ["cluster", "node"]).join(many, "cluster")
-        right = right.withColumn("side", F.pmod(F.xxhash64("node", F.lit(7)), "sides").cast("int"))
-        right = right.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).select("cluster", "block", "side", "node", "text")
-        right = right.toDF(*(f"_{name}" for name in right.columns)).toDF(*right.columns)  # both sides come from one table
-        left = dealt.join(many, "cluster").withColumn("side", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
-        left = left.select("cluster", "block", "side", "node", "text")
-        keys = ["cluster", "block", "side"]
-        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(against, "a binary, b binary")
-
-    drawn = [F.min(F.struct(F.xxhash64("node", F.lit(i)), "node")).getField("node") for i in range(PIVOTS)]
-    pivots = large.groupBy("cluster").agg(F.array_distinct(F.array(*drawn)).alias("nodes"))
-    first = written(compare(written(pivots.select("cluster", F.explode("nodes").alias("node")))))
-    state = large.select("cluster", "node").join(components(first), "node", "left").select("cluster", "node", F.coalesce("root", "node").alias("root"))
-    state = written(state)
-    counts = state.groupBy("cluster", "root").agg(F.count("*").alias("n"))
-    main = counts.groupBy("cluster").agg(F.max(F.struct("n", "root")).getField("root").alias("main"))
-    rest = written(state.join(main, "cluster").where("root <> main").select("cluster", "node"))
-    second = compare(rest)
-    return components(edges.unionByName(first).unionByName(second))
+        for batch in batches:
+            for node, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = shingle(text)
+                if set_key(found) == node:
+                    columns = [pa.array([node], pa.binary()), pa.array([-(-percent * len(found) // 100)], pa.int32()), pa.array([found.view(np.int64)], pa.list_(pa.int64()))]
+                    yield pa.RecordBatch.from_arrays(columns, ["node", "need", "shingles"])
+
+    return run
+
+
+def links(nodes: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) that connect what is similar among nodes(node, tokens, row), whose texts are in rows(row, text)."""
+    least = matches(percent)
+    posted = nodes.select("node", F.explode("tokens").alias("token"))
+    prefix = written(prefixes(posted, nodes.select("node", F.lit(least).alias("need"))))
+    heads = prefix.groupBy("token").agg(F.max(F.struct("weight", "node")).getField("node").alias("b"), F.count("*").alias("n")).where("n > 1")
+    lists = written(prefix.join(heads, "token").select("token", "node", "b"))
+    active = lists.select("node").distinct().join(nodes, "node")
+    # equal rows have one key, so only one text of them goes on
+    texts = written(active.select("node", "row").join(rows, "row").dropDuplicates(["row", "node", "text"]).select("node", "text"))
+    active = written(active.select("node", "tokens"))
+    stars = lists.where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+    first = written(confirmed(colliding(stars, active, least), texts, width, percent))
+    state = written(with_roots(active, first))
+    roots = state.select("node", "root")
+    open_lists = lists.join(roots, "node").groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token")
+    open_nodes = written(lists.join(open_lists, "token").select("node").distinct())
+    sets = texts.join(open_nodes, "node").select("node", F.col("text").cast("binary")).mapInArrow(shingled(width, percent), "node binary, need int, shingles array<long>")
+    sets = written(sets)
+    prefix = written(prefixes(sets.select("node", F.explode("shingles").alias("token")), sets.select("node", "need")))
+    placed = prefix.select("token", "node").join(roots, "node")
+    counts = placed.groupBy("token", "root").agg(F.count("*").alias("n")).groupBy("token").agg(F.max(F.struct("n", "root")).getField("root").alias("main"), F.sum("n").alias("n"), F.count("*").alias("kinds"))
+    counts = counts.where("kinds > 1").select("token", "main", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    placed = written(placed.join(counts, "token"))
+    own = placed.select("token", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), F.lit(False).alias("asks"), "node", "root")
+    asking = placed.where("root <> main").select("token", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("asks"), "node", "root")
+    met = own.unionByName(asking).join(active, "node").select("token", "block", "asks", "node", "root", "tokens")
+    met = met.repartition("token", "block").sortWithinPartitions("token", "block", "asks").mapInArrow(crossing(least), "a binary, b binary")
+    met = written(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    return first.unionByName(written(confirmed(met, texts, width, percent)))
 
 
 def classes(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -231,19 +275,13 @@ def classes(docs: DataFrame, width: int, percent: int) -> DataFrame:
     rows = docs.select("doc_id", row_key().alias("row"), whole_text().alias("text"))
     signatures = rows.select("doc_id", "row", F.col("text").cast("binary")).mapInArrow(signed(width), "doc_id long, row long, n_shingles long, node binary, tokens array<long>")
     found = written(signatures)
-    nodes = found.where("node is not null").groupBy("node").agg(F.first("tokens").alias("tokens"))
-    clusters = components(stars(nodes, matches(percent))).select("node", F.col("root").alias("cluster"))
-    sizes = clusters.groupBy("cluster").agg(F.count("*").alias("size"))
-    of_node = found.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row"))
-    members = clusters.join(sizes, "cluster").join(of_node.select("node", "row"), "node")
-    # equal rows have one key, so only one text of them goes on
-    members = members.join(rows.select("row", "text"), "row").dropDuplicates(["row", "node", "text"])
-    members = written(members.select("cluster", "size", "node", "text"))
-    roots = confirmed(members, width, percent)
-    named = of_node.select("node", "doc_id").join(roots, "node")
+    nodes = found.where("node is not null").groupBy("node")
+    nodes = written(nodes.agg(F.first("tokens").alias("tokens"), F.min("doc_id").alias("doc_id"), F.min("row").alias("row")))
+    roots = components(links(nodes.select("node", "tokens", "row"), rows.select("row", "text"), width, percent))
+    named = nodes.select("node", "doc_id").join(roots, "node")
     names = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     linked = named.join(names, "root").select("node", "root", "component_id")
-    own = of_node.select("node", "doc_id").join(linked, "node", "left")
+    own = nodes.select("node", "doc_id").join(linked, "node", "left")
     own = own.select("node", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("root", "node").alias("root"))
     out = found.select("doc_id", "row", "n_shingles", "node").join(own, "node", "left")
     return out.select("doc_id", "row", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "root")
