@@ -12,7 +12,7 @@ of either, so only those prefixes are merged and the long lists at the end are s
    and by the same rule: rare to frequent, the prefix beyond which the similarity asked for cannot be reached. What
    documents have in common without being near copies (passages, lines) is at the skipped end. In every list the
    nodes outside its largest component are compared with those of other components, in blocks of BLOCK nodes.
-   Pairs above the collision threshold are confirmed as before.
+   Pairs above the collision threshold, and for which enough shingles follow in both, are confirmed as before.
 
 MATCHES is the largest count of COORDINATES that pairs at the similarity asked for fall short of with a
 probability below MISSED; no other step misses a link.
@@ -124,13 +124,14 @@ def signed(width: int):
 
 
 def prefixes(posted: DataFrame, need: DataFrame) -> DataFrame:
-    """(token, node, weight) of the prefixes of posted(node, token): of the tokens that other nodes hold too, the rarest,
-    as many as leave need - 1 of need(node, need). weight tells how frequent a node's tokens are."""
+    """(token, at, node, weight, held) of the prefixes of posted(node, token): of the tokens that other nodes hold too, the
+    rarest, as many as leave need - 1 of need(node, need). at is a token's place among the held ones of its node, weight
+    tells how frequent these are."""
     held = posted.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     held = posted.join(held, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("held"), F.sum(F.log2("n")).alias("weight"))
     held = held.join(need, "node").where(F.size("held") >= F.col("need"))
     first = F.slice("held.token", F.lit(1), F.size("held") - F.col("need") + 1)
-    return held.select("node", "weight", F.explode(first).alias("token"))
+    return held.select("node", "weight", F.size("held").alias("held"), F.posexplode(first).alias("at", "token"))
 
 
 def same_block(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[bool, pa.RecordBatch]]:
@@ -149,25 +150,29 @@ def pairs_of(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], ["a", "b"])
 
 
-def crossing(least: int):
-    """For mapInArrow: (token, block, asks, node, root, tokens), sorted -> pairs of an asking node and one of the block that
-    have different roots and agree in `least` coordinates."""
+def crossing(least: int, percent: int):
+    """For mapInArrow: (token, block, asks, node, root, size, rest, tokens), sorted -> pairs of an asking node and one of the
+    block that have different roots and agree in `least` coordinates. rest is how many shingles of a node follow in the
+    order from rare to frequent: if the token is the first that a similar pair shares, enough must follow in both."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nodes, roots, known, found = [], [], [], []
+        nodes, roots, numbers, known, found = [], [], [], [], []
         for new, part in same_block(batches, 2):
             if new:
-                nodes, roots, known = [], [], []
-            signatures = part.column(5).flatten().to_numpy().reshape(-1, COORDINATES)
-            for asks, node, root, mine in zip(*(part.column(k).to_pylist() for k in (2, 3, 4)), signatures, strict=True):
+                nodes, roots, numbers, known = [], [], [], []
+            signatures = part.column(7).flatten().to_numpy().reshape(-1, COORDINATES)
+            for asks, node, root, size, rest, mine in zip(*(part.column(k).to_pylist() for k in range(2, 7)), signatures, strict=True):
                 if not asks:
                     nodes.append(node)
                     roots.append(root)
+                    numbers.append((size, rest))
                     known.append(mine)
                     continue
                 if isinstance(known, list):
-                    known = np.stack(known) if known else np.empty((0, COORDINATES), dtype=np.int64)
-                near = np.flatnonzero((known == mine).sum(axis=1) >= least)
+                    known = np.array(known, dtype=np.int64).reshape(-1, COORDINATES)
+                    sizes, rests = np.array(numbers, dtype=np.int64).reshape(-1, 2).T
+                enough = (1 + np.minimum(rests, rest)) * (100 + percent) >= percent * (sizes + size)
+                near = np.flatnonzero(enough & ((known == mine).sum(axis=1) >= least))
                 found += [(node, nodes[i]) for i in near if roots[i] != root]
             if len(found) > 10_000:
                 yield pairs_of(found)
@@ -257,14 +262,15 @@ def links(nodes: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFr
     sets = texts.join(open_nodes, "node").select("node", F.col("text").cast("binary")).mapInArrow(shingled(width, percent), "node binary, need int, shingles array<long>")
     sets = written(sets)
     prefix = written(prefixes(sets.select("node", F.explode("shingles").alias("token")), sets.select("node", "need")))
-    placed = prefix.select("token", "node").join(roots, "node")
+    placed = prefix.join(sets.select("node", F.size("shingles").alias("size")), "node").join(roots, "node")
+    placed = placed.select("token", "node", "root", "size", (F.col("held") - F.col("at") - 1).alias("rest"))
     counts = placed.groupBy("token", "root").agg(F.count("*").alias("n")).groupBy("token").agg(F.max(F.struct("n", "root")).getField("root").alias("main"), F.sum("n").alias("n"), F.count("*").alias("kinds"))
     counts = counts.where("kinds > 1").select("token", "main", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     placed = written(placed.join(counts, "token"))
-    own = placed.select("token", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), F.lit(False).alias("asks"), "node", "root")
-    asking = placed.where("root <> main").select("token", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("asks"), "node", "root")
-    met = own.unionByName(asking).join(active, "node").select("token", "block", "asks", "node", "root", "tokens")
-    met = met.repartition("token", "block").sortWithinPartitions("token", "block", "asks").mapInArrow(crossing(least), "a binary, b binary")
+    own = placed.select("token", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), F.lit(False).alias("asks"), "node", "root", "size", "rest")
+    asking = placed.where("root <> main").select("token", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("asks"), "node", "root", "size", "rest")
+    met = own.unionByName(asking).join(active, "node").select("token", "block", "asks", "node", "root", "size", "rest", "tokens")
+    met = met.repartition("token", "block").sortWithinPartitions("token", "block", "asks").mapInArrow(crossing(least, percent), "a binary, b binary")
     met = written(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     return first.unionByName(written(confirmed(met, texts, width, percent)))
 
