@@ -36,3 +36,22 @@ def test_same_ids_as_the_library_and_exact_round_trip(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, ids string, key int")
     assert bpe.encode(docs, {b"a": 0}, public_tokenizers.PATTERN).count() == 0
+
+
+def test_null_ids_texts_that_look_like_others_and_the_bytes(spark):
+    """A long text of a row without an id that reads like another row's id and text."""
+    enc, ranks = library(), bpe.read_ranks(PATH)
+    long = "word and number 12 " * 300
+    rows = [(None, "5:" + long), (5, long), (None, long), (None, None), (6, "none:" + long)]
+    docs = spark.createDataFrame([(*r, "k", b"b") for r in rows], "doc_id long, text string, key string, bytes binary")
+    out = bpe.encode(docs, ranks, public_tokenizers.PATTERN, 512, 64, decoded=True).collect()
+    want = [(i, enc.encode_ordinary(t or ""), (t or "").encode()) for i, t in rows]
+    assert sorted(((r.doc_id, r.ids, bytes(r.bytes)) for r in out), key=str) == sorted(want, key=str)
+
+
+def test_portions_hold_every_row_once():
+    sizes = [0, bpe.BYTES + 1, 5, 5, bpe.BYTES, 1] + [1] * 600
+    got = list(bpe.portions(sizes))
+    assert [a for a, _ in got] == [0, *(b for _, b in got[:-1])] and got[-1][1] == len(sizes)
+    assert all(b - a == 1 or b - a <= bpe.ROWS and sum(sizes[a:b]) <= bpe.BYTES for a, b in got)
+    assert list(bpe.portions([])) == []

@@ -9,8 +9,8 @@ stay together. The pieces between stitches are encoded in parallel and their
 ids concatenated in order; decoding concatenates the bytes of the ids.
 
 Cases: null and empty texts give no ids; a text of one chunk needs no stitch;
-repeated rows give repeated results; other columns are not read; an empty table
-gives an empty result.
+repeated rows give repeated results; rows with a null doc_id are encoded like
+any others; other columns are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,10 +28,14 @@ from pyspark.sql import functions as F
 
 from wayline.llm.common import whole_text
 
-CHUNK = 1 << 16
+CHUNK = 1 << 15
 OVERLAP = 1 << 10
-#: Distinct pre-tokens whose ids a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 400_000
+#: Bytes of pre-tokens and their ids that a worker remembers; beyond it the memory starts anew.
+REMEMBERED = 32 << 20
+#: What an entry of that memory takes besides.
+ENTRY = 200
+#: Texts, in number and in bytes, that are worked on at a time.
+ROWS, BYTES = 256, 4 << 20
 
 Ranks = dict[bytes, int]
 
@@ -79,12 +83,14 @@ class Encoded(dict):
 
     def __init__(self, ranks: Ranks):
         super().__init__()
-        self.ranks = ranks
+        self.ranks, self.size = ranks, 0
 
     def __missing__(self, piece: str) -> bytes:
         ids = np.array(merge(piece.encode("utf-8", "surrogatepass"), self.ranks), dtype=np.int32).tobytes()
-        if len(self) >= REMEMBERED:
+        self.size += ENTRY + 4 * len(piece) + len(ids)
+        if self.size >= REMEMBERED:
             self.clear()
+            self.size = 0
         self[piece] = ids
         return ids
 
@@ -95,18 +101,55 @@ def id_lists(packed: list[bytes]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), dtype=np.int32)))
 
 
-def encoder(pattern: str, ranks):
-    """For mapInArrow: replaces the last column, a text, by its ids."""
+class Letters:
+    """Ids -> the bytes they stand for."""
+
+    def __init__(self, ranks: Ranks):
+        tokens = {rank: token for token, rank in ranks.items()}
+        self.lengths = np.zeros(max(tokens, default=0) + 1, dtype=np.int64)
+        for rank, token in tokens.items():
+            self.lengths[rank] = len(token)
+        self.starts = np.concatenate([[0], np.cumsum(self.lengths)])
+        self.letters = np.frombuffer(b"".join(tokens.get(rank, b"") for rank in range(len(self.lengths))), dtype=np.uint8)
+
+    def of(self, lists: pa.ListArray) -> pa.Array:
+        """A binary array of the bytes of each list of ids."""
+        counts = np.array([x or 0 for x in pa.compute.list_value_length(lists).to_pylist()], dtype=np.int64)
+        ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        size = self.lengths[ids]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        source = np.arange(total) + np.repeat(self.starts[ids] - (ends - size), size)
+        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        data = pa.py_buffer(self.letters[source].tobytes())
+        return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(bounds.astype(np.int32).tobytes()), data])
+
+
+def portions(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of up to ROWS rows and, but for single ones, BYTES bytes."""
+    start, total = 0, 0
+    for i, size in enumerate(sizes):
+        if i > start and (i - start >= ROWS or total + size > BYTES):
+            yield start, i
+            start, total = i, 0
+        total += size
+    if sizes:
+        yield start, len(sizes)
+
+
+def encoder(pattern: str, ranks, decoded: bool):
+    """For mapInArrow: replaces the last column, a text, by its ids, and if `decoded` by the bytes these decode to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find, known = regex.compile(pattern).findall, Encoded(ranks.value)
+        letters = Letters(ranks.value) if decoded else None
         for batch in batches:
-            texts = batch.columns[-1].to_pylist()
-            # a few rows at a time: the lists stay far below Arrow's offsets and the worker's memory
-            for start in range(0, len(texts), 256):
-                packed = [b"".join(map(known.__getitem__, find(text))) for text in texts[start : start + 256]]
-                columns = [c.slice(start, 256) for c in batch.columns[:-1]]
-                yield pa.RecordBatch.from_arrays([*columns, id_lists(packed)], [*batch.schema.names[:-1], "ids"])
+            texts = batch.columns[-1]
+            for start, end in portions(pa.compute.binary_length(texts).to_pylist()):
+                ids = id_lists([b"".join(map(known.__getitem__, find(text.as_py()))) for text in texts.slice(start, end - start)])
+                columns = [c.slice(start, end - start) for c in batch.columns[:-1]]
+                more = [letters.of(ids)] if decoded else []
+                yield pa.RecordBatch.from_arrays([*columns, ids, *more], [*batch.schema.names[:-1], "ids", *["bytes"] * decoded])
 
     return run
 
@@ -116,10 +159,10 @@ def boundaries(pattern: str, chunk: int, overlap: int):
     anchor = regex.compile(r"(?<=\S)\s")
 
     def ends(text: str, first: bool, last: bool) -> list[int]:
-        found = [m.end() for m in regex.finditer(pattern, text)]
-        if not last and found and found[-1] == len(text):
-            found.pop()  # the pre-token may go on beyond the chunk
         if first:
+            found = [m.end() for m in regex.finditer(pattern, text)]
+            if not last and found and found[-1] == len(text):
+                found.pop()  # the pre-token may go on beyond the chunk
             return found
         if not (m := anchor.search(text)):
             return []
@@ -145,18 +188,18 @@ def boundaries(pattern: str, chunk: int, overlap: int):
     return run
 
 
-def encode(docs: DataFrame, ranks: Ranks, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """(doc_id, ids array<int>) of every row of docs(doc_id, text)."""
+def encode(docs: DataFrame, ranks: Ranks, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP, decoded: bool = False) -> DataFrame:
+    """(doc_id, ids array<int>) of every row of docs(doc_id, text), and if `decoded` the bytes the ids decode to."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(ranks)  # a vocabulary file's fixed size
     rows = docs.select("doc_id", whole_text().alias("text"))
-    encode_text = encoder(pattern, shared)
+    encode_text, more = encoder(pattern, shared, decoded), ", bytes binary" * decoded
     short = rows.where(F.length("text") <= chunk + overlap)
-    one_piece = short.mapInArrow(encode_text, "doc_id long, ids array<int>")
+    one_piece = short.mapInArrow(encode_text, f"doc_id long, ids array<int>{more}")
     # equal rows share their key and are counted, so each comes back as often as it came
     long = (
         rows.where(F.length("text") > chunk + overlap)
-        .withColumn("key", F.unhex(F.sha2(F.concat_ws(":", F.col("doc_id").cast("string"), "text"), 256)))
+        .withColumn("key", F.unhex(F.sha2(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.lit(":"), "text"), 256)))
         .groupBy("key")
         .agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.count("*").alias("n"))
     )
@@ -179,14 +222,13 @@ def encode(docs: DataFrame, ranks: Ranks, pattern: str, chunk: int = CHUNK, over
         .select("key", "doc_id", "n", "text", "cuts", F.posexplode(F.slice("cuts", 1, F.size("cuts") - 1)).alias("piece", "start"))
         .select("key", "doc_id", "n", "piece", F.expr("substring(text, start + 1, cuts[piece + 1] - start)").alias("part"))
     )
-    encoded = pieces.mapInArrow(encode_text, "key binary, doc_id long, n long, piece int, ids array<int>")
-    joined = (
-        encoded.groupBy("key")
-        .agg(F.first("doc_id").alias("doc_id"), F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("piece", "ids"))).alias("pieces"))
-        .select("doc_id", F.flatten("pieces.ids").alias("ids"), F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy"))
-        .select("doc_id", "ids")
-    )
-    return one_piece.unionByName(joined)
+    encoded = pieces.mapInArrow(encode_text, f"key binary, doc_id long, n long, piece int, ids array<int>{more}")
+    names = ["ids", *["bytes"] * decoded]
+    ordered = F.array_sort(F.collect_list(F.struct("piece", *names))).alias("pieces")
+    whole = [F.flatten("pieces.ids").alias("ids"), *[F.unhex(F.array_join(F.transform("pieces.bytes", F.hex), "")).alias("bytes")] * decoded]
+    joined = encoded.groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.first("n").alias("n"), ordered)
+    joined = joined.select("doc_id", *whole, F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy"))
+    return one_piece.unionByName(joined.select("doc_id", *names))
 
 
 def decode(encoded: DataFrame, ranks: Ranks) -> DataFrame:
@@ -194,26 +236,12 @@ def decode(encoded: DataFrame, ranks: Ranks) -> DataFrame:
     shared = encoded.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = {rank: token for token, rank in shared.value.items()}
-        lengths = np.zeros(max(tokens, default=0) + 1, dtype=np.int64)
-        for rank, token in tokens.items():
-            lengths[rank] = len(token)
-        starts = np.concatenate([[0], np.cumsum(lengths)])
-        letters = np.frombuffer(b"".join(tokens.get(rank, b"") for rank in range(len(lengths))), dtype=np.uint8)
-        for whole in batches:
-            for first in range(0, whole.num_rows, 256):
-                batch = whole.slice(first, 256)
-                lists = batch.column(batch.schema.get_field_index("ids"))
-                counts = np.array([x or 0 for x in pa.compute.list_value_length(lists).to_pylist()], dtype=np.int64)
-                ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                size = lengths[ids]
-                ends = np.cumsum(size)
-                total = int(ends[-1]) if len(ends) else 0
-                source = np.arange(total) + np.repeat(starts[ids] - (ends - size), size)
-                bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-                data = pa.py_buffer(letters[source].tobytes())
-                column = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(bounds.astype(np.int32).tobytes()), data])
-                yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, "bytes"])
+        letters = Letters(shared.value)
+        for batch in batches:
+            lists = batch.column(batch.schema.get_field_index("ids"))
+            for start, end in portions([4 * (x or 0) for x in pa.compute.list_value_length(lists).to_pylist()]):
+                rows = batch.slice(start, end - start)
+                yield pa.RecordBatch.from_arrays([*rows.columns, letters.of(lists.slice(start, end - start))], [*batch.schema.names, "bytes"])
 
     schema = ", ".join(f"`{name}` {kind}" for name, kind in encoded.dtypes)
     return encoded.mapInArrow(run, f"{schema}, bytes binary")

@@ -42,7 +42,7 @@ MISSED = 1e-8
 #: Nodes of a list, or partners of a head, that are compared at a time.
 BLOCK = 64
 #: Distinct words whose hashes a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 
 _draw = np.random.Generator(np.random.PCG64(20_240_501))
 _FACTORS = _draw.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

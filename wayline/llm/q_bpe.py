@@ -14,8 +14,9 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 def digests(docs: DataFrame) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path(VOCABULARY))
-    decoded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
-    return decoded.select(
+    # one Python worker encodes and decodes
+    found = bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True)
+    return found.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

@@ -37,7 +37,7 @@ LEXICON = 5_000
 #: Nats of evidence against chance that a word beginning needs.
 EVIDENCE = 16.0
 #: Distinct tokens a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 
 # Signs that stand for letters.
 SIGNS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l"}
