@@ -12,6 +12,8 @@ import tiktoken
 import corpus_pipeline
 from tests.llm.test_mixing import shares
 from tests.llm.test_secrets import brute as secret_spans
+from pyspark.sql import functions as F
+
 from wayline.llm.common import written
 from wayline.llm.secrets import MARK
 
@@ -96,3 +98,20 @@ def test_decisions_take_effect_row_by_row(spark, folder):
     assert len([x for x in kept if x[0] == 8]) == 1
     assert sorted(x[1][:1] for x in kept if x[0] is None and x[1]) == ["d", "e"]
     assert sorted(x[1] for x in kept if x[0] == 4) == ["", "  "] and len([x for x in kept if x[0] is None and not x[1]]) == 1
+
+
+def test_stages_with_clashing_columns_ties_and_no_rows(spark, folder):
+    """Columns with the names the stages use inside, equal rows, and a table without rows."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    names = ["_doc", "_row", "_n", "_key", "_hash", "_spans", "_copies", "_copy"]
+    more = docs.where("doc_id < 60").unionByName(docs.where("doc_id < 20"))
+    for name in names:
+        more = more.withColumn(name, F.lit(name))
+    more = written(more)
+    plain = more.drop(*names)
+    for name, stage in corpus_pipeline.STAGES:
+        got, want = written(stage(spark, more, folder)), stage(spark, plain, folder)
+        assert sorted(map(str, got.drop(*names).collect())) == sorted(map(str, want.collect())), name
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert got.columns == more.columns and {tuple(r) for r in got.select(*names).collect()} == {tuple(names)}
+        assert stage(spark, plain.where("false"), folder).count() == 0, name

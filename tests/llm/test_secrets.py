@@ -78,3 +78,10 @@ def test_redaction(spark):
 
 def test_no_rows(spark):
     assert scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_a_text_of_many_parts(spark):
+    """Time grows in proportion to the parts of a text."""
+    text = " ".join(f"{i:024x}" for i in range(20_000))
+    [row] = scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert len(row.base) == len(row.spans) == 20_000 and row.spans[-1].end == len(text)

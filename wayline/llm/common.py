@@ -17,9 +17,11 @@ _own_folder: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or in local mode one of our own where it is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and the executors share")
         if not _own_folder:
             _own_folder.append(tempfile.mkdtemp(prefix="wayline-"))
             atexit.register(shutil.rmtree, _own_folder[0], ignore_errors=True)
@@ -35,6 +37,16 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, made longer until df has no such column."""
+    taken, out = {name.lower() for name in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def whole_text(name: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(name), F.lit(""))

@@ -11,7 +11,7 @@ hashes, so reruns agree.
 All of it is DataFrame functions; what is the same for a size or a source is worked out once for it.
 
 Cases: null and empty texts have size 0 and are never taken; a null source is a source of its own, the last;
-repeated rows are documents like any others; a source without words has the target 0; other columns are not
+repeated rows are documents like any others, as are rows with a null doc_id; a source without words has the target 0; other columns are not
 read; an empty table gives an empty result.
 """
 
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wayline.llm.common import WORD, written
+from wayline.llm.common import WORD, unused, written
 
 WEIGHTS = (1, 2, 3)
 MOST = 3
@@ -111,7 +111,7 @@ def mixture(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOS
     """(doc_id, hash, size, source_size, target, copies) of every row of docs(doc_id, source, text)."""
     rows = docs.select(
         "doc_id",
-        F.xxhash64("text").alias("hash"),
+        F.xxhash64(F.col("source").isNull(), "source", "text").alias("hash"),
         F.col("source").cast("string").alias("source"),
         F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("")).alias("key"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
@@ -136,9 +136,10 @@ def mixture(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOS
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """The rows of the mix: each row of docs as often as it is taken."""
-    taken = mixture(docs, weights, most).where("copies > 0").select(F.col("doc_id").alias("_doc"), F.col("hash").alias("_hash"), F.col("copies").alias("_copies"))
+    doc, hashed, key, copies_of, copy = unused(docs, "_doc", "_hash", "_key", "_copies", "_copy")
+    taken = mixture(docs, weights, most).where("copies > 0").select(F.col("doc_id").alias(doc), F.col("hash").alias(hashed), F.col("copies").alias(copies_of))
     # equal rows are taken together
-    taken = taken.groupBy("_doc", "_hash").agg(F.sum("_copies").alias("_copies"))
-    once = docs.withColumn("_key", F.xxhash64("text")).dropDuplicates(["doc_id", "_key"])
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_hash"))
-    return once.join(taken, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    taken = taken.groupBy(doc, hashed).agg(F.sum(copies_of).alias(copies_of))
+    once = docs.withColumn(key, F.xxhash64(F.col("source").isNull(), "source", "text")).dropDuplicates(["doc_id", key])
+    same = F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(key) == F.col(hashed))
+    return once.join(taken, same).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies_of).cast("int")))).select(*docs.columns)

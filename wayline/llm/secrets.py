@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wayline.llm.common import whole_text
+from wayline.llm.common import unused, whole_text
 
 SCOPE = 200
 MARK = "[SECRET]"
@@ -81,7 +81,9 @@ def linked(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     parts = parts_of(docs).withColumn("rank", F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int"))
     certain = F.col("valid") & (F.col("rank") <= 3)
     text = W.partitionBy("doc_id", "hash").orderBy("start", "rank", "end")
-    before, after = text.rowsBetween(W.unboundedPreceding, -1), text.rowsBetween(1, W.unboundedFollowing)
+    # the rows after one are the rows before it in descending order: a frame that only grows is worked out once
+    backwards = W.partitionBy("doc_id", "hash").orderBy(F.desc("start"), F.desc("rank"), F.desc("end"))
+    before, after = (w.rowsBetween(W.unboundedPreceding, -1) for w in (text, backwards))
     start, end = F.col("start"), F.col("end")
 
     def near(*kinds: str) -> Column:
@@ -105,8 +107,9 @@ def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
 
 def redacted(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """docs with every span of its texts replaced by MARK and n_chars made to fit; other rows and columns stay."""
-    found = linked(docs, scope).where(F.size("spans") > 0).select(F.col("doc_id").alias("_doc"), F.col("hash").alias("_hash"), "spans")
-    out = docs.withColumn("_key", F.xxhash64(whole_text())).join(found.withColumnRenamed("spans", "_spans"), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_hash")), "left")
+    doc, hashed, key, spans = unused(docs, "_doc", "_hash", "_key", "_spans")
+    found = linked(docs, scope).where(F.size("spans") > 0).select(F.col("doc_id").alias(doc), F.col("hash").alias(hashed), F.col("spans").alias(spans))
+    out = docs.withColumn(key, F.xxhash64(whole_text())).join(found, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(key) == F.col(hashed)), "left")
     nothing = F.lit(0)
     start = F.struct(nothing.alias("at"), F.lit("").alias("out"))
 
@@ -115,8 +118,8 @@ def redacted(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
         new = F.concat(acc["out"], F.substring(F.col("text"), at + 1, s - at), F.lit(MARK))
         return F.struct(F.greatest(at, e).alias("at"), F.when(s >= at, new).otherwise(acc["out"]).alias("out"))
 
-    text = F.aggregate("_spans", start, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
-    changed = out.withColumn("text", F.when(F.col("_spans").isNotNull(), text).otherwise(F.col("text")))
+    text = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
+    changed = out.withColumn("text", F.when(F.col(spans).isNotNull(), text).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.when(F.col("_spans").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        changed = changed.withColumn("n_chars", F.when(F.col(spans).isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return changed.select(*docs.columns)
