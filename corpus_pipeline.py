@@ -7,32 +7,34 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayline.llm import bpe, minhash, mixing, secrets, toxicity
-from wayline.llm.common import row_key, written
+from wayline.llm.common import row_key, unused, written
 from wayline.session import table, with_package
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
-def same_row(docs: DataFrame, decided: DataFrame) -> Column:
-    """Whether a row of docs is the one that decided(_doc, _row) names."""
-    return (row_key() == decided["_row"]) & docs["doc_id"].eqNullSafe(decided["_doc"])
+def same_row(doc: str, row: str) -> Column:
+    """Whether a row is the one that the columns named doc and row tell."""
+    return (row_key() == F.col(row)) & F.col("doc_id").eqNullSafe(F.col(doc))
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose score is below one half."""
     scores = toxicity.scored(docs, table(spark, sf_dir, "labels"))
-    rejected = scores.where("score >= 0.5").select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row")).distinct()
-    return docs.join(rejected, same_row(docs, rejected), "left_anti").select(*docs.columns)
+    doc, row = unused(docs, "_doc", "_row")
+    rejected = scores.where("score >= 0.5").select(F.col("doc_id").alias(doc), F.col("row").alias(row)).distinct()
+    return docs.join(rejected, same_row(doc, row), "left_anti").select(*docs.columns)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each class of near copies, one of the smallest doc_id; of equal rows one."""
     with_package(spark)
-    kept = minhash.representatives(docs).toDF("_doc", "_row", "_n")
-    rows = docs.join(kept, same_row(docs, kept))
+    doc, row, n = unused(docs, "_doc", "_row", "_n")
+    kept = minhash.representatives(docs).toDF(doc, row, n)
+    rows = docs.join(kept, same_row(doc, row))
     # only equal rows are compared with each other, so texts are shuffled once
-    several = rows.where("_n > 1").dropDuplicates(["_doc", "_row"])
-    return rows.where("_n = 1").select(*docs.columns).unionByName(several.select(*docs.columns))
+    several = rows.where(F.col(n) > 1).dropDuplicates([doc, row])
+    return rows.where(F.col(n) == 1).select(*docs.columns).unionByName(several.select(*docs.columns))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +51,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document's ids and of the bytes they decode to."""
     with_package(spark)
     ranks = bpe.read_ranks(public_tokenizers.path(VOCABULARY))
-    found = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    found = bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True)  # one Python worker encodes and decodes
     return found.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -7,6 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 ROOT = str(Path(__file__).resolve().parent.parent)
 
 
@@ -33,6 +34,8 @@ def with_package(spark: SparkSession) -> SparkSession:
     paths = [p for p in env.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep) if p]
     if ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
+    if not spark.sparkContext.getConf().contains(BATCH):
+        spark.conf.set(BATCH, str(8 << 20))  # long texts come to Python a few at a time
     return spark
 
 
