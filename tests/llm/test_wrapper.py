@@ -1,3 +1,4 @@
+import random
 import re
 from html import unescape
 
@@ -82,3 +83,82 @@ def test_sibling_articles(spark):
         rows = [(i, "http://w.example/%d" % i, page % (f"first {i}", f"second {i}")) for i in range(3)]
         assert [r[2] for r in texts(spark, rows)] == [f"first {i}\n\nsecond {i}" for i in range(3)]
         assert texts(spark, rows[:1])[0][2] == "first 0\n\nsecond 0"
+
+
+def most_pairs(a, b):
+    """The size of the best matching, by trying every order-keeping choice of children."""
+    from functools import cache
+
+    def kids(tree):
+        out, path = [[] for _ in tree], []
+        for i, (depth, _) in enumerate(tree):
+            del path[depth:]
+            if path:
+                out[path[-1]].append(i)
+            path.append(i)
+        return out
+
+    of_a, of_b = kids(a), kids(b)
+
+    @cache
+    def best(x, y):
+        if not x or not y:
+            return 0
+        options = [best(x[1:], y), best(x, y[1:])]
+        if a[x[0]][1] == b[y[0]][1]:
+            options.append(1 + best(tuple(of_a[x[0]]), tuple(of_b[y[0]])) + best(x[1:], y[1:]))
+        return max(options)
+
+    return 1 + best(tuple(of_a[0]), tuple(of_b[0]))
+
+
+def test_tree_matching_finds_as_many_pairs_as_there_can_be():
+    draw = random.Random(4)
+
+    def tree(n):
+        out, depth = [(0, "r")], 0
+        for _ in range(n):
+            depth = draw.randint(1, depth + 1)
+            out.append((depth, draw.choice("xyz")))
+        return out
+
+    for _ in range(400):
+        a = tree(draw.randint(0, 9))
+        b = a[: draw.randint(1, len(a))] + [(1, draw.choice("xyz")) for _ in range(draw.randint(0, 3))] if draw.random() < 0.5 else tree(draw.randint(0, 9))
+        found = matching(a, b)
+        assert len(found) == most_pairs(a, b), (a, b)
+        ups = lambda t, i: next((k for k in range(i - 1, -1, -1) if t[k][0] < t[i][0]), None)
+        for i, j in found.items():
+            if i or j:
+                assert a[i] == b[j] and found[ups(a, i)] == ups(b, j)
+        assert sorted(found.values()) == [found[i] for i in sorted(found)]  # the order of siblings is kept
+
+
+def test_names_count_as_a_whole(spark):
+    """Names that only contain a word of the list are no such parts; neither is what holds the main heading."""
+    body = '<p class="alert-level">low</p><div class="share-price"><p>12</p></div><div class="comment-list"><p>reader</p></div><div class="ad ad-300x250"><p>buy</p></div>'
+    for name in ("content no-sidebar", "ad-free", "entry has-comments"):
+        html = f'<body><nav>x</nav><div class="{name}"><p>real article</p>{body}</div></body>'
+        assert texts(spark, [(1, "http://n.example/", html)])[0][2] == "real article\n\nlow\n\n12"
+    html = '<body><div class="widget"><h1>Title</h1><p>all of it</p></div><div class="widget"><p>other</p></div></body>'
+    assert texts(spark, [(1, "http://n.example/", html)])[0][2] == "Title\n\nall of it"
+
+
+def test_hostile_pages_end_in_time():
+    from time import monotonic
+
+    start = monotonic()
+    n = 60_000
+    for html in ("<a " * n, '<a "' * n, "<b " * n + '">', "<a '\"" * n + ">", "</x>" * n, "<div>" * n + "</p>" * n, "<div>" * n, "<" * n, "<!--" * n, "<b>" * n + "<p>" * n, '<a href="' * n + ">x"):
+        Outline(parse(html))
+    wide = [(0, "b"), *((1, f"x{i % 977}") for i in range(n // 10))]
+    other = wide[:300] + [(1, "new")] + wide[301:]
+    assert len(matching(wide, other)) == len(wide) - 1
+    assert monotonic() - start < 30
+
+
+def test_quotes_and_tags_without_an_end():
+    text = lambda html: Outline(parse(html)).text(0)
+    assert text('<p title="a > b">x</p>') == "x"
+    assert text("<p>1 < 2 <b") == "1 < 2 <b"
+    assert text('<p class="x>y</p>') == "y"

@@ -18,6 +18,7 @@ result.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -38,21 +39,37 @@ NO_ARTICLE_MARKS = frozenset(
     cookie cookies disqus footer gdpr menu modal nav navbar navigation newsletter notice notices notification pagination popup promo promoted
     related replies reply search share sharing sidebar skip social sponsor sponsored subscribe toolbar widget""".split()
 )
+#: What goes with these words in names of parts (ad-box, comment-list); with any other word a name means something else.
+NEUTRAL_MARKS = frozenset(
+    """area article bar block bottom box button buttons container content entry group icons inner item items left link links list main outer
+    page panel policy post posts right section site story thread top wrap wrapper""".split()
+)
 ARTICLE_MARKS = frozenset("article content entry main post story".split())
 HEADERS, HEADER_MARKS = frozenset({"header"}), frozenset({"header", "masthead"})
 
 
+@lru_cache(maxsize=4096)
+def names_part(name: str, words: frozenset) -> bool:
+    """Whether a name as a whole is one of the words, maybe with others of them, neutral words and numbers."""
+    parts = re.findall("[a-z0-9]+", name)
+    rest = [x for x in parts if x not in words]
+    return len(rest) < len(parts) and all(x in NEUTRAL_MARKS or x[0].isdigit() for x in rest)
+
+
 def dropped(node: Node, inside: bool) -> bool:
-    """Whether a part is none of the article; headers are, but for those inside it."""
+    """Whether a part is none of the article; headers are, but for those inside it. What holds the page's main heading
+    or main element is no such part, whatever its name."""
     if node.tag in NO_ARTICLE or not inside and node.tag in HEADERS:
         return True
     if not node.marks or node.tag in ("html", "body", "article", "main"):
         return False
-    return bool(node.marks & NO_ARTICLE_MARKS) or not inside and bool(node.marks & HEADER_MARKS)
+    if not node.title and any(names_part(name, NO_ARTICLE_MARKS) for name in node.marks):
+        return True
+    return not inside and any(names_part(name, HEADER_MARKS) for name in node.marks)
 
 
-def is_article(tag: str, words: frozenset) -> int:
-    return 3 if tag == "article" else 2 if tag == "main" else 1 if words & ARTICLE_MARKS else 0
+def is_article(tag: str, marks: frozenset) -> int:
+    return 3 if tag == "article" else 2 if tag == "main" else 1 if marks & ARTICLE_MARKS else 0
 
 
 class Outline:
@@ -82,7 +99,7 @@ class Outline:
             node, depth, inside, container = x
             if container:
                 todo.append(len(self.tree))
-                self.tree.append((depth, ".".join([node.tag, *sorted(node.marks)])))
+                self.tree.append((depth, " ".join([node.tag, *sorted(node.marks)])))
                 self.spans.append([len(self.blocks), 0])
             elif not inline:
                 todo.append(-1)
@@ -128,7 +145,7 @@ class Outline:
 
 def content(tree: list, states: list[bool | None], filled: list[bool]) -> list[bool]:
     """Whether each node's own text is content; states: whether it varies, None where pages do not tell."""
-    marked = [is_article(tag, frozenset(words)) for tag, *words in (label.split(".") for _, label in tree)]
+    marked = [is_article(tag, frozenset(words)) for tag, *words in (label.split(" ") for _, label in tree)]
     path, best, up = [], [0] * len(tree), [-1] * len(tree)  # best: the highest mark in a node that has text
     full = list(filled)
     for i, (depth, _) in enumerate(tree):
@@ -157,7 +174,7 @@ def decoded(text: str) -> list[tuple[int, str]]:
     return [(int(depth), label) for depth, _, label in (line.partition(" ") for line in text.split("\n"))]
 
 
-@lru_cache(maxsize=4096)
+@lru_cache(maxsize=64)
 def aligned(tree: str, reference: str) -> dict[int, int]:
     return matching(decoded(tree), decoded(reference))
 
