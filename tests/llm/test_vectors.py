@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+from wayline.llm import hilbert, topk
 from wayline.llm.hilbert import hilbert_keys, neighbours
 from wayline.llm.topk import top_scores
 
@@ -44,18 +45,24 @@ def test_neighbours_of_few_are_exact(spark):
     rows = [*vectors(300, 3, 1), *BAD, (7, [0.5, 0.5]), (301, [0.1, 0.1, 0.1]), (301, [0.1, 0.1, 0.1])]
     rows = [r for r in rows if not (r[0] in {b[0] for b in BAD} and r[1] and r not in BAD)]
     got = sorted(map(tuple, neighbours(frame(spark, rows)).collect()))
-    good = [r for r in {(i, tuple(x)) for i, x in rows if x and any(x)}]
+    good = [(i, tuple(x)) for i, x in rows if x and any(x)]
     want = brute(good, 20, 20, float)
     assert [g[:3] for g in got] == [w[:3] for w in want]
     assert np.allclose([g[3] for g in got], [w[3] for w in want], rtol=1e-12)
 
 
-@pytest.mark.parametrize("spread,width", [(0.3, 16), (5.0, 64)])
-def test_recall(spark, spread, width):
+@pytest.mark.parametrize("spread,width,most", [(0.3, 16, 0.8), (5.0, 64, 2.0)])
+def test_recall_where_windows_leave_blocks_out(spark, spread, width, most, monkeypatch):
+    """90 blocks a curve. Clustered vectors need few pairs; of the others a third is nearly one vector."""
     rows = vectors(9000, width, 3, spread)
+    draw = np.random.default_rng(5)
+    if spread > 1:
+        rows[6000:] = [(i, [float(np.float32(v + 0.01 * e)) for v, e in zip(rows[0][1], draw.standard_normal(width))]) for i in range(6000, 9000)]
+    reaches, measure = [], hilbert.measured_reach
+    monkeypatch.setattr(hilbert, "measured_reach", lambda *args: reaches.append(measure(*args)) or reaches[-1])
     x = np.array([r[1] for r in rows], dtype=np.float64)
     found = {}
-    for r in neighbours(frame(spark, rows)).collect():
+    for r in neighbours(frame(spark, rows), block=100).collect():
         found.setdefault(r.query_id, []).append(r)
     assert set(found) == set(range(0, 9000, 20))
     hits = 0
@@ -64,7 +71,24 @@ def test_recall(spark, spread, width):
         scores[q] = -np.inf
         hits += len({r.vec_id for r in list_} & set(np.argsort(-scores)[:20].tolist()))
         assert len(list_) == 20
+    scored = hilbert.CURVES * (2 * reaches[0] + 1) / 90
+    print(f"recall {hits / (20 * len(found)):.3f}, pairs scored {scored:.2f} of a scan")
     assert hits / (20 * len(found)) >= 0.9
+    assert scored < most
+
+
+def test_whole_scores_are_added_up_for_listed_rows_only():
+    draw = np.random.default_rng(1)
+    rows, queries = draw.integers(-99, 99, (400, 8)).astype(float), draw.integers(-99, 99, (3, 8)).astype(float)
+    parts, ids, asked = topk.sliced(rows, queries), np.arange(400), [(5, None), (6, None), (7, None)]
+    first = topk.local_lists(ids, parts, asked, 5)
+    assert all(len(hits) == 5 for hits in first)
+    cutoffs = [(q, -hits[-1]["neg"]) for (q, _), hits in zip(asked, first, strict=True)]
+    last = topk.above_cutoff(ids, parts, cutoffs, 5)
+    for i, (q, _) in enumerate(asked):
+        whole = rows @ queries[i]
+        want = sorted((-int(s), j) for j, s in enumerate(whole) if j != q)[:5]
+        assert [(h["neg"], h["vec_id"]) for h in last[i]] == want
 
 
 def test_top_scores_are_exact(spark):
