@@ -102,3 +102,24 @@ def intercept(rules: Sequence[tuple[str, Column]]) -> Column:
     for name, test in reversed(list(rules)):
         out = F.when(F.coalesce(test, F.lit(False)), name).otherwise(out)
     return out
+
+
+# Patterns of credentials, in any case.
+CREDENTIALS = {
+    "authorization": r"authorization\s*[:=]",
+    "bearer": r"bearer\s+[A-Za-z0-9._\-]{16,}",
+    "signed_token": r"eyJ[A-Za-z0-9_\-]{10,}\.[A-Za-z0-9_\-]{10,}",
+    "model_key": r"(?<![A-Za-z0-9])sk-ant-[A-Za-z0-9_\-]{16,}",
+    "service_key": r"(?<![A-Za-z0-9])sk-[A-Za-z0-9]{16,}",
+    "cloud_key": r"AKIA[0-9A-Z]{16,}",
+    "api_key": r"AIza[0-9A-Za-z_\-]{35,}",
+    "password_in_url": r"https?://[^\s/:@]+:[^\s/@]+@",
+    "cookie": r"set-cookie\s*:",
+    "private_key": r"-----BEGIN [A-Z ]*PRIVATE KEY-----",
+    "code_host_token": r"ghp_[A-Za-z0-9]{36,}",
+}
+
+
+def credential_patterns(text: Column, patterns: dict[str, str] = CREDENTIALS) -> Column:
+    """The names of the patterns that are found in the text, in their order."""
+    return F.array_compact(F.array(*(F.when(text.rlike(f"(?i){p}"), F.lit(name)) for name, p in patterns.items())))

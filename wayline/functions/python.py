@@ -6,21 +6,26 @@ import json
 import re
 import unicodedata
 from difflib import SequenceMatcher
+from itertools import groupby
 from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_STRING, _BOOLEAN, _INT = T.StringType(), T.BooleanType(), T.IntegerType()
+_LEAVES = T.ArrayType(T.StructType([T.StructField("path", _STRING), T.StructField("value", _STRING)]))
 
 _SPACE = re.compile(r"\s+")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(_STRING)
 def match_key(text: pd.Series) -> pd.Series:
     """Compatibility forms folded, white space gone, lower case."""
     return text.map(lambda t: None if t is None else _SPACE.sub("", unicodedata.normalize("NFKC", t)).lower())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(_STRING)
 def absolute_url(base: pd.Series, href: pd.Series) -> pd.Series:
     def join(b, h):
         try:
@@ -31,7 +36,7 @@ def absolute_url(base: pd.Series, href: pd.Series) -> pd.Series:
     return pd.Series([None if b is None or h is None else join(b, h) for b, h in zip(base, href, strict=True)])
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(_BOOLEAN)
 def alike(left: pd.Series, right: pd.Series) -> pd.Series:
     """Whether whole texts are equal or have a ratio of matching blocks above 0.9, whatever their case and white space."""
 
@@ -49,27 +54,72 @@ def alike(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([same(a, b) for a, b in zip(left, right, strict=True)], dtype=bool)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(_STRING)
 def text_anchor(text: pd.Series, evidence: pd.Series) -> pd.Series:
-    """The first four characters in a row that the evidence has too, drawn out both ways to at most forty."""
+    """The first four characters in a row that the evidence has too, drawn out to the left and then to the right as long as
+    the evidence has them anywhere, to at most forty; '' for none."""
 
     def anchor(t: str | None, e: str | None) -> str | None:
         if t is None or e is None:
             return None
-        for i in range(len(t) - 3):
-            if (at := e.find(t[i : i + 4])) >= 0:
-                start, end = i, i + 4
-                while end < len(t) and end - start < 40 and at + end - i < len(e) and t[end] == e[at + end - i]:
-                    end += 1
-                while start > 0 and end - start < 40 and at - (i - start) > 0 and t[start - 1] == e[at - (i - start) - 1]:
-                    start -= 1
-                return t[start:end]
-        return ""
+        start = next((i for i in range(len(t) - 3) if t[i : i + 4] in e), None)
+        if start is None:
+            return ""
+        end = start + 4
+        while start > 0 and end - start < 40 and t[start - 1 : end] in e:
+            start -= 1
+        while end < len(t) and end - start < 40 and t[start : end + 1] in e:
+            end += 1
+        return t[start:end]
 
     return pd.Series([anchor(t, e) for t, e in zip(text, evidence, strict=True)])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(_INT)
+def common_length(left: pd.Series, right: pd.Series) -> pd.Series:
+    """How long the longest string is that both texts have."""
+
+    def longest(a: str | None, b: str | None) -> int | None:
+        if a is None or b is None:
+            return None
+        return SequenceMatcher(None, a, b, autojunk=False).find_longest_match().size
+
+    return pd.Series([longest(a, b) for a, b in zip(left, right, strict=True)], dtype="Int32")
+
+
+@F.pandas_udf(_STRING)
+def run_shape(text: pd.Series) -> pd.Series:
+    """The kinds of characters in turn, A capital, a other letter, 9 digit, X other, with how many stand in a row."""
+
+    def kind(c: str) -> str:
+        return ("A" if c.isupper() else "a") if c.isalpha() else "9" if c.isdigit() else "X"
+
+    def shape(t: str) -> str:
+        runs = [(k, len(list(g))) for k, g in groupby(t, key=kind)]
+        return "".join(k if n == 1 else f"{k}{n}" for k, n in runs)
+
+    return text.map(lambda t: None if t is None else shape(t))
+
+
+@F.pandas_udf(_STRING)
+def first_json_object(text: pd.Series) -> pd.Series:
+    """The first JSON object in a text, with sorted keys; null for none. Braces that begin none are passed over."""
+    decoder = json.JSONDecoder()
+
+    def find(t: str | None) -> str | None:
+        at = (t or "").find("{")
+        while at >= 0:
+            try:
+                value, _ = decoder.raw_decode(t, at)
+                return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+            except ValueError:
+                at = t.find("{", at + 1)
+        return None
+
+    return text.map(find)
+
+
+@F.pandas_udf(_STRING)
 def canonical_json(text: pd.Series) -> pd.Series:
     """JSON with sorted keys and no blanks at any depth; null where it is none."""
 
@@ -82,7 +132,7 @@ def canonical_json(text: pd.Series) -> pd.Series:
     return text.map(canon)
 
 
-@F.pandas_udf("array<struct<path:string,value:string>>")
+@F.pandas_udf(_LEAVES)
 def string_leaves(text: pd.Series) -> pd.Series:
     """Every string in a JSON value with its path."""
 

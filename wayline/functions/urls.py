@@ -87,3 +87,36 @@ def action_signature(tool: Column, params: Column) -> Column:
     """One text for a tool and its parameters in any order."""
     pairs = F.transform(F.array_sort(F.map_entries(params)), lambda kv: F.concat_ws("=", kv["key"], kv["value"]))
     return F.concat(tool, F.lit("\u0001"), F.array_join(pairs, "\u0001"))
+
+
+def host_root(host: Column, roots: Sequence[str]) -> Column:
+    """The first of the roots that a host is, or is a sub-domain of; '' for none."""
+    hit = [F.when((host == root) | F.endswith(host, F.lit(f".{root}")), F.lit(root)) for root in roots]
+    return F.coalesce(*hit, F.lit(""))
+
+
+def rotated(seed: Column, choices: Sequence[str]) -> Column:
+    """One of the choices, by the CRC-32 of the seed's UTF-8 bytes."""
+    return F.element_at(F.array(*map(F.lit, choices)), (F.crc32(seed) % len(choices) + 1).cast("int"))
+
+
+def exclusion_reason(url: Column, engine: str, redirect: tuple[str, str], excluded: Sequence[str], impossible: Sequence[str], noise: str) -> Column:
+    """Why a link is no candidate, the first reason counting; '' for none.
+
+    engine: the search engine's host; redirect: host and path of its result links, which are candidates unless they wrap
+    another address openly; excluded and impossible: roots of hosts; noise: a pattern of paths.
+    """
+    browsable, name, way = url.rlike("^https?://"), host(url), path(url)
+    wraps = F.replace(F.replace(url, F.lit("%3A"), F.lit(":")), F.lit("%2F"), F.lit("/")).rlike(r"[?&]url=https?://")
+    out, beyond = host_root(name, excluded), host_root(name, impossible)
+    return (
+        F.when(~browsable, "non_http_scheme")
+        .when(name == "", "no_host")
+        .when((name == redirect[0]) & (way == redirect[1]), F.when(wraps, "redirect_wrapper").otherwise(""))
+        .when(name == engine, "engine_self")
+        .when(out != "", F.concat(F.lit("excluded_host:"), out))
+        .when(beyond != "", F.concat(F.lit("impossible_content:"), beyond))
+        .when(way.rlike(noise), "path_noise")
+        .when(wraps, "redirect_wrapper")
+        .otherwise("")
+    )

@@ -1,0 +1,152 @@
+"""Queries over wordings of tasks, decisions and claims."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from wayline.functions import checks, python, tasks
+from wayline.plans.catalog import query
+from wayline.session import table
+
+_PROBES = {"has_url": ["http", "www."], "has_count": ["5 ", "three"], "free": ["free", "licensed"]}
+_HIT = {key: " ".join(["CASE", *(f"WHEN contains(lower(text), '{w}') THEN '{w}'" for w in words), "END"]) for key, words in _PROBES.items()}
+
+
+@query("""
+SELECT doc_id, coalesce(title, '-') AS title, CASE WHEN title IS NOT NULL THEN 'single_title' WHEN contains(text, 'the ') THEN 'unknown_title' ELSE 'aggregate' END AS mode
+FROM (SELECT doc_id, text, coalesce(CASE WHEN a <> '' AND lower(a) NOT IN ('and', 'the') AND NOT regexp_matches(a, '^(?:this|that) ') THEN a END, CASE WHEN b <> '' AND lower(b) NOT IN ('and', 'the') AND NOT regexp_matches(b, '^(?:this|that) ') THEN b END) AS title
+  FROM (SELECT doc_id, text, trim(regexp_extract(text, '"([^"]{1,40})"', 1)) AS a, trim(regexp_extract(text, ', ([a-z]{2,5}) [a-z]', 1)) AS b FROM documents))
+""")
+def f27_titles_and_modes(spark, sf_dir):
+    title = tasks.quoted_title(F.col("text"), ['"([^"]{1,40})"', ", ([a-z]{2,5}) [a-z]"], ["and", "the"], "^(?:this|that) ")
+    return table(spark, sf_dir, "documents").select("doc_id", F.coalesce(title, F.lit("-")).alias("title"), tasks.retrieval_mode(title, F.col("text"), ["the "]).alias("mode"))
+
+
+@query(f"SELECT doc_id, concat_ws(',', {', '.join(f'''{chr(39)}{k}:{chr(39)} || ({hit})''' for k, hit in _HIT.items())}) AS constraints FROM documents")
+def f29_constraints(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(tasks.constraints(F.col("text"), _PROBES), ",").alias("constraints"))
+
+
+@query(f"SELECT doc_id, concat_ws(',', {', '.join(f'''CASE WHEN ({hit}) IS NULL THEN {chr(39)}{k}{chr(39)} END''' for k, hit in _HIT.items())}) AS lost FROM documents")
+def f30_lost_constraints(spark, sf_dir):
+    """What a text loses of three constraints."""
+    wanted = F.array(*(F.lit(f"{k}:x") for k in [*_PROBES, "unknown"]))
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(tasks.lost_constraints(F.col("text"), wanted, _PROBES), ",").alias("lost"))
+
+
+@query(f"""
+WITH l AS (SELECT lang, [x FOR x IN [{', '.join(f'''CASE WHEN ({hit}) IS NULL THEN {chr(39)}{k}{chr(39)} END''' for k, hit in _HIT.items())}] IF x IS NOT NULL] AS lost FROM documents)
+SELECT lang, count(*) AS total, count(*) FILTER (len(lost) = 0) AS accepted, count(*) FILTER (len(lost) = 0) / count(*) AS rate, CAST(sum(CASE WHEN list_contains(lost, 'has_url') THEN 1 ELSE 0 END) AS BIGINT) AS no_url FROM l GROUP BY lang
+""")
+def a38_probe_report(spark, sf_dir):
+    wanted = F.array(*(F.lit(f"{k}:x") for k in _PROBES))
+    rows = table(spark, sf_dir, "documents").select("lang", tasks.lost_constraints(F.col("text"), wanted, _PROBES).alias("lost"))
+    kept = F.count(F.when(F.size("lost") == 0, 1))
+    return rows.groupBy("lang").agg(F.count("*").alias("total"), kept.alias("accepted"), (kept / F.count("*")).alias("rate"), F.count(F.when(F.array_contains("lost", "has_url"), 1)).alias("no_url"))
+
+
+@query("""
+SELECT event_id, CASE WHEN yes THEN '' WHEN yes IS NULL THEN 'unresolved' WHEN access = 'dead' THEN 'broken' WHEN access = 'walled' THEN 'login_wall' WHEN pay IN ('preview', 'trial') THEN 'partial_free' WHEN coalesce(pay, '') <> '' THEN 'pay_wall'
+  WHEN event_type = 'click' THEN 'not_site' ELSE 'unresolved' END AS branch
+FROM (SELECT event_id, event_type, CASE event_id % 3 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN CASE WHEN event_id % 2 = 0 THEN false END END AS yes, CASE event_id % 8 WHEN 1 THEN 'dead' WHEN 2 THEN 'walled' WHEN 3 THEN 'odd' END AS access,
+  CASE event_id % 10 WHEN 1 THEN 'preview' WHEN 2 THEN 'trial' WHEN 3 THEN 'full' WHEN 4 THEN '' END AS pay FROM events)
+""")
+def p24_decision_branch(spark, sf_dir):
+    n = F.col("event_id")
+    answer = F.when(n % 3 == 0, True).when((n % 3 == 1) | (n % 2 == 0), False)
+    access = F.when(n % 8 == 1, "dead").when(n % 8 == 2, "walled").when(n % 8 == 3, "odd")
+    pay = F.when(n % 10 == 1, "preview").when(n % 10 == 2, "trial").when(n % 10 == 3, "full").when(n % 10 == 4, "")
+    branch = tasks.decision_branch(answer, F.col("event_type"), access, pay, {"dead": "broken", "walled": "login_wall"}, {"click": "not_site", "view": "no_player"}, ["no_player"])
+    return table(spark, sf_dir, "events").select("event_id", branch.alias("branch"))
+
+
+@query("SELECT event_id, coalesce(CASE WHEN event_type = 'click' AND f = 'a' THEN 1 WHEN event_type = 'click' AND f = 'b' THEN 3 WHEN event_type = 'view' AND f = 'a' THEN 5 END, 0) AS tier FROM (SELECT event_id, event_type, CASE event_id % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS f FROM events)")
+def g16_factor_tier(spark, sf_dir):
+    factor = F.when(F.col("event_id") % 3 == 0, "a").when(F.col("event_id") % 3 == 1, "b").otherwise("c")
+    tier = tasks.factor_tier(F.col("event_type"), factor, {"click": {"a": 1, "b": 3}, "view": {"a": 5}})
+    return table(spark, sf_dir, "events").select("event_id", F.coalesce(tier, F.lit(0)).alias("tier"))
+
+
+@query(r"""
+WITH t AS (SELECT doc_id, text || chr(10) || '- see https://a.example/x., and' || chr(10) || ' 2) ' || lang AS text FROM documents),
+c AS (SELECT doc_id, list_concat([('url:' || regexp_replace(u, '[.,;:]+$', '')) FOR u IN regexp_extract_all(text, 'https?://[^\s<>()]+')], [('list_item:' || trim(i)) FOR i IN regexp_extract_all(text, '(?m)^[ \t]*(?:[-*+][ \t]+|[0-9]+[.)][ \t]+)(.+)$', 1)]) AS c FROM t)
+SELECT doc_id, len(c) AS n, md5(array_to_string(c, chr(10))) AS digest FROM c
+""")
+def f43_claims(spark, sf_dir):
+    text = F.concat("text", F.lit("\n- see https://a.example/x., and\n 2) "), "lang")
+    rows = table(spark, sf_dir, "documents").select("doc_id", tasks.claims(text).alias("c"))
+    return rows.select("doc_id", F.size("c").cast("long").alias("n"), F.md5(F.array_join(F.transform("c", lambda x: F.concat_ws(":", x["kind"], x["value"])), "\n")).alias("digest"))
+
+
+@query("SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN text || chr(10) || chr(10) || 'x' WHEN 1 THEN regexp_replace(text, chr(10) || '{3,}', chr(10) || chr(10), 'g') || ' y' ELSE 'a' || chr(10) END AS text FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN replace(text, chr(10), ' ') ELSE text END AS text FROM documents)")
+def f37_meta_tags(spark, sf_dir):
+    """Texts with tags put in, and stripped of them; those without tags keep their empty lines."""
+    n, flat = F.col("doc_id"), F.replace("text", F.lit("\n"), F.lit(" "))
+    tagged = F.when(n % 3 == 0, F.concat(flat, F.lit("\n⟦a b⟧\n\n⟦c⟧x"))).when(n % 3 == 1, F.concat("text", F.lit("⟦m⟧ y"))).otherwise(F.lit("a⟦tag⟧\n\n"))
+    return table(spark, sf_dir, "documents").select("doc_id", tasks.meta_tags_stripped(tagged).alias("text"))
+
+
+@query("SELECT conv_id, turn, contains(lower(text), 'rate') OR contains(lower(text), 'the and') AS limited, contains(lower(text), 'unable to') OR contains(lower(text), 'in the ') AS honest FROM conversations")
+def f38_phrases(spark, sf_dir):
+    text = F.col("text")
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", tasks.says_any(text, ["rate", "the and"]).alias("limited"), tasks.says_any(text, ["unable to", "in the "]).alias("honest"))
+
+
+@query("SELECT item_id, CASE item_id % 4 WHEN 0 THEN 2 WHEN 1 THEN 3 ELSE 0 END AS columns, CASE item_id % 4 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END AS rows FROM benchmark")
+def f44_markdown_table(spark, sf_dir):
+    """Items with a table of one of four shapes: whole, whole, with a short row, without a rule."""
+    tables = ["| a | b |\n|---|:---:|\n| 1 | 2 |\n| 3 | 4 |", "x|y|z\n---|---|---\n1|2|3", "| a | b |\n|---|---|\n| 1 |", "a | b\n1 | 2\n3 | 4"]
+    shape = F.coalesce(*(F.when(F.col("item_id") % 4 == k, F.lit(t)) for k, t in enumerate(tables)))
+    rows = table(spark, sf_dir, "benchmark").select("item_id", tasks.markdown_table(F.concat(F.replace("text", F.lit("|"), F.lit(" ")), F.lit("\n"), shape)).alias("t"))
+    return rows.select("item_id", F.coalesce("t.columns", F.lit(0)).alias("columns"), F.coalesce("t.rows", F.lit(0)).alias("rows"))
+
+
+@query()
+def p35_credential_runs(spark, sf_dir):
+    """The shape of each text: runs of capitals, letters, digits and others with their lengths."""
+    return table(spark, sf_dir, "benchmark").select("item_id", python.run_shape(F.col("text")).alias("shape"))
+
+
+@query()
+def f7_common_length(spark, sf_dir):
+    """The longest string that an item has in common with the next."""
+    items = table(spark, sf_dir, "benchmark")
+    after = items.select((F.col("item_id") - 1).alias("item_id"), F.col("text").alias("other"))
+    return items.join(after, "item_id").select("item_id", python.common_length(F.col("text"), F.col("other")).alias("n"))
+
+
+@query()
+def f9_match_key(spark, sf_dir):
+    return table(spark, sf_dir, "benchmark").select("item_id", python.match_key(F.col("text")).alias("key"))
+
+
+@query()
+def f16_text_anchor(spark, sf_dir):
+    """What of an item is said in the next, drawn out to both sides."""
+    items = table(spark, sf_dir, "benchmark")
+    after = items.select((F.col("item_id") - 1).alias("item_id"), F.col("text").alias("evidence"))
+    return items.join(after, "item_id").select("item_id", python.text_anchor(F.col("text"), F.col("evidence")).alias("anchor"))
+
+
+@query()
+def h4_canonical_json(spark, sf_dir):
+    """Properties in one spelling, and the strings in them with their paths."""
+    rows = table(spark, sf_dir, "events").select("event_id", python.canonical_json(F.col("props")).alias("json"), python.string_leaves(F.col("props")).alias("leaves"))
+    return rows.select("event_id", "json", F.array_join(F.transform("leaves", lambda x: F.concat_ws("=", x["path"], x["value"])), ",").alias("leaves"))
+
+
+@query()
+def h5_first_object(spark, sf_dir):
+    """The first JSON object in prose, canonical."""
+    prose = F.concat(F.lit("Sure {not json} then: "), F.col("props"), F.lit(' and {"more": 1}'))
+    return table(spark, sf_dir, "events").select("event_id", python.first_json_object(prose).alias("json"))
+
+
+_CLASSES = {name: pattern for name, pattern in checks.CREDENTIALS.items()}
+
+
+@query("SELECT doc_id, concat_ws(',', " + ", ".join(f"CASE WHEN regexp_matches(text, '(?i){p}') THEN '{n}' END" for n, p in _CLASSES.items() if "(?<!" not in p) + ") AS classes FROM documents")
+def p34_credential_patterns(spark, sf_dir):
+    """The patterns that DuckDB's expressions can say too; all are in credential_patterns' tests."""
+    wanted = {n: p for n, p in _CLASSES.items() if "(?<!" not in p}
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(checks.credential_patterns(F.col("text"), wanted), ",").alias("classes"))
