@@ -91,3 +91,9 @@ def test_pools(spark):
     assert {r.k: r.pool for r in swept} == {"a": "delivery", "z": "quarantine"}
     with pytest.raises(ValueError):
         archives.sweep(pool, pool.where(F.lit(False)), "k")
+
+
+def test_objects_between_stray_signs():
+    text = 'x} {"a": 1}{"b": "}{"} " {broken {"c": {"d": [1, {"e": 2}]}} [1, {"f": 3}] {"g": "unclosed'
+    assert [json.loads(x) for x in archives.json_objects(text)] == [{"a": 1}, {"b": "}{"}, {"c": {"d": [1, {"e": 2}]}}, {"f": 3}]
+    assert archives.json_objects("") == archives.json_objects("{{{") == []

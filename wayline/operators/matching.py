@@ -14,11 +14,12 @@ def match_visits(visits: DataFrame, outcomes: DataFrame, keys: Sequence[str] = (
 
     The keys of a visit are tried in order; each meets an outcome by url or site_url. Of the first key that meets
     any, the last outcome counts. Empty keys are skipped, unmatched visits stay. visits: run, visit, keys...;
-    outcomes: run, idx, url, site_url. One equi-join, then one aggregate that Spark combines before the shuffle.
+    outcomes: run, idx, url, site_url. The last outcome of each key is found before the join, so it meets a key once.
     """
     tiers = F.filter(F.transform(F.array(*keys), lambda key, tier: F.struct(tier.alias("tier"), key.alias("key"))), lambda x: x["key"] != "")
     asked = visits.select("run", "visit", F.inline(tiers))
     given = outcomes.select("run", "idx", F.explode(F.array_distinct(F.array("url", "site_url"))).alias("key")).where("key <> ''")
+    given = given.groupBy("run", "key").agg(F.max("idx").alias("idx"))
     best = asked.join(given, ["run", "key"]).groupBy("run", "visit").agg(F.max(F.struct((-F.col("tier")).alias("order"), "idx")).getField("idx").alias("outcome"))
     return visits.join(best, ["run", "visit"], "left").withColumn("matched", F.col("outcome").isNotNull()).withColumn("outcome", F.coalesce("outcome", F.lit(-1)))
 
@@ -33,8 +34,9 @@ def url_entries(outcomes: DataFrame, matched: DataFrame) -> DataFrame:
 
 def next_visible(steps: DataFrame, by: Sequence[str], order: str, target: str, visible: Column) -> DataFrame:
     """steps with the target of the next visible step."""
-    after = W.partitionBy(*by).orderBy(order).rowsBetween(1, W.unboundedFollowing)
-    return steps.withColumn("next_target", F.first(F.when(visible, F.col(target)), ignorenulls=True).over(after))
+    # backwards, so that the frame only grows and is worked out once
+    after = W.partitionBy(*by).orderBy(F.desc(order)).rowsBetween(W.unboundedPreceding, -1)
+    return steps.withColumn("next_target", F.last(F.when(visible, F.col(target)), ignorenulls=True).over(after))
 
 
 def paired(baseline: DataFrame, current: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -73,18 +75,17 @@ def page_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def prefix_pairs(landings: DataFrame, anchors: DataFrame) -> DataFrame:
-    """Pairs of (host, path) where one path is a prefix of the other; the root meets the root alone.
+    """Pairs of (host, path) where one path begins with the other, character by character; the root, also written as an
+    empty path, meets the root alone.
 
-    Every path is posted under its own leading segments, so the join is on equal keys.
+    Every path is posted under all its beginnings, so the join is on equal keys.
     """
-    parts = lambda path: F.split(F.trim(path, F.lit("/")), "/")
-    heads = lambda path: F.transform(F.sequence(F.lit(1), F.size(parts(path))), lambda n: F.array_join(F.slice(parts(path), F.lit(1), n), "/"))
-    own = lambda path: F.array_join(parts(path), "/")
-    left = landings.select("host", F.col("path").alias("landing"), own(F.col("path")).alias("l"))
-    right = anchors.select("host", F.col("path").alias("anchor"), own(F.col("path")).alias("r"))
-    down = left.join(right.withColumn("l", F.explode(heads(F.col("anchor")))), ["host", "l"]).select("host", "landing", "anchor")
-    up = left.withColumn("r", F.explode(heads(F.col("landing")))).join(right, ["host", "r"]).select("host", "landing", "anchor")
-    return down.unionByName(up).distinct()
+    whole = lambda df, name: df.select("host", F.when(F.col("path") == "", "/").otherwise(F.col("path")).alias(name)).distinct()
+    heads = lambda path: F.transform(F.sequence(F.lit(1), F.length(path)), lambda n: F.substring(path, F.lit(1), n))
+    left, right = whole(landings, "landing"), whole(anchors, "anchor")
+    down = right.withColumn("landing", F.explode(heads(F.col("anchor")))).where("landing <> '/' or anchor = '/'")
+    up = left.withColumn("anchor", F.explode(heads(F.col("landing")))).where("anchor <> '/' or landing = '/'")
+    return left.join(down, ["host", "landing"]).select("host", "landing", "anchor").unionByName(up.join(right, ["host", "anchor"]).select("host", "landing", "anchor")).distinct()
 
 
 def version_diff(previous: DataFrame, current: DataFrame) -> DataFrame:

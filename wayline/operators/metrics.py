@@ -122,8 +122,16 @@ def merged_scores(units: DataFrame, by: Sequence[str], score: str, veto: str, or
 
 
 def medians(rows: DataFrame, value: str, by: str) -> DataFrame:
-    """Exact medians by group and over all (group null)."""
-    return rows.groupingSets([[by], []], by).agg(F.median(value).alias("median"), F.count(value).alias("n"))
+    """Exact medians by group and over all (group null): the middle of the running counts of distinct values."""
+    rows = rows.where(F.col(value).isNotNull())
+    counts = rows.groupingSets([[value, by], [value]], value, by).agg(F.count("*").alias("_c"), F.grouping(by).alias("_all"))
+    group = W.partitionBy("_all", by)
+    so_far, n = F.sum("_c").over(group.orderBy(value).rowsBetween(W.unboundedPreceding, 0)), F.sum("_c").over(group)
+    counts = counts.withColumn("_so_far", so_far).withColumn("n", n)
+    # the value at a place is the least whose running count reaches it
+    at = lambda place: F.min(F.when(F.col("_so_far") >= place, F.col(value)))
+    low, high = at(F.floor((F.col("n") + 1) / 2)), at(F.floor(F.col("n") / 2) + 1)
+    return counts.groupBy("_all", by).agg(((low + high) / F.lit(2.0)).alias("median"), F.max("n").alias("n")).select(by, "median", "n")
 
 
 def drift(current: DataFrame, baseline: DataFrame, keys: Sequence[str], threshold: float) -> DataFrame:

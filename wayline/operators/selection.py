@@ -14,21 +14,41 @@ def hash_order(seed: str, *keys: str) -> Column:
     return F.sha2(F.concat_ws("\u0001", F.lit(seed), *(F.col(k).cast("string") for k in keys)), 256)
 
 
+#: Parts of a stratum that are ranked apart, so that none is ranked in one task.
+PARTS = 256
+
+
 def draw(rows: DataFrame, strata: Sequence[str], quota: int, seed: str, keys: Sequence[str]) -> DataFrame:
-    """Up to a quota of rows from each stratum, with its size and their weight."""
-    w = W.partitionBy(*strata)
-    rank = F.row_number().over(w.orderBy(hash_order(seed, *keys), *keys))
-    size = F.count(F.lit(1)).over(w)
-    out = rows.withColumn("population", size).withColumn("_rank", rank).where(F.col("_rank") <= quota).drop("_rank")
+    """Up to a quota of rows from each stratum, with its size and their weight.
+
+    The first of each of PARTS parts of a stratum are found first, and the first of these then: both ranks are of at most
+    PARTS * quota rows or a part.
+    """
+    order = (F.col("_order"), *keys)
+    rows = rows.withColumn("_order", hash_order(seed, *keys)).withColumn("_part", F.pmod(F.xxhash64("_order"), F.lit(PARTS)))
+    sizes = rows.groupBy(*strata).agg(F.count("*").alias("population")).select(*(F.col(s).alias(f"_{s}") for s in strata), "population")
+    first = rows.withColumn("_rank", F.row_number().over(W.partitionBy(*strata, "_part").orderBy(*order))).where(F.col("_rank") <= quota)
+    few = first.withColumn("_rank", F.row_number().over(W.partitionBy(*strata).orderBy(*order))).where(F.col("_rank") <= quota)
+    same = [F.col(s).eqNullSafe(F.col(f"_{s}")) for s in strata]
+    out = few.join(sizes, same).drop("_rank", "_part", "_order", *(f"_{s}" for s in strata))
     return out.withColumn("weight", F.col("population") / F.least(F.col("population"), F.lit(quota)))
 
 
 def split_by_ratio(rows: DataFrame, label: str, share: float, seed: str, keys: Sequence[str]) -> DataFrame:
-    """rows with a split: of each label the first bround(n * share) in hash order calibrate, the rest are held out."""
-    w = W.partitionBy(label)
-    rank = F.row_number().over(w.orderBy(hash_order(seed, *keys), *keys))
-    most = F.bround(F.count(F.lit(1)).over(w) * share)
-    return rows.withColumn("split", F.when(rank <= most, "calibration").otherwise("holdout"))
+    """rows with a split: of each label the first bround(n * share) in hash order calibrate, the rest are held out.
+
+    The order begins with the hash's first digits; counts of these tell how many rows come before a group of them, so only
+    rows of one group are ranked together.
+    """
+    rows = rows.withColumn("_order", hash_order(seed, *keys)).withColumn("_part", F.substring("_order", 1, 3))
+    counts = rows.groupBy(label, "_part").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(W.partitionBy(label).orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
+    total = F.sum("_n").over(W.partitionBy(label))
+    counts = counts.select(F.col(label).alias("_label"), F.col("_part").alias("_group"), F.coalesce(before, F.lit(0)).alias("_before"), F.bround(total * share).alias("_most"))
+    rank = F.row_number().over(W.partitionBy(label, "_part").orderBy("_order", *keys))
+    ranked = rows.withColumn("_rank", rank).join(counts, F.col(label).eqNullSafe(F.col("_label")) & (F.col("_part") == F.col("_group")))
+    split = F.when(F.col("_before") + F.col("_rank") <= F.col("_most"), "calibration").otherwise("holdout")
+    return ranked.withColumn("split", split).drop("_order", "_part", "_rank", "_label", "_group", "_before", "_most")
 
 
 def proportional_quotas(rows: DataFrame, label: str, k: int) -> DataFrame:

@@ -60,22 +60,22 @@ def q24_prefill(spark, sf_dir):
 
 
 @query("""
-WITH t AS (SELECT user_id AS k, event_type AS bucket, CASE WHEN event_id % 500 = 0 THEN ' ' ELSE 'me' END AS by_whom FROM events WHERE value > 150)
+WITH t AS (SELECT user_id AS k, event_type AS bucket, CASE WHEN event_id % 500 = 0 THEN ' ' ELSE 'me' END AS by_whom FROM events)
 SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(sum(blank) AS BIGINT) AS blank, count(*) FILTER (answers > 1) AS conflicts, sum(blank) = 0 AND count(*) FILTER (answers > 1) = 0 AS admitted
 FROM (SELECT k, count(*) AS n, count(*) FILTER (trim(by_whom) = '' OR trim(bucket) = '') AS blank, count(DISTINCT (bucket, by_whom)) AS answers FROM t GROUP BY k)
 """)
 def q25_triage(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").where("value > 150").select(F.col("user_id").alias("k"), F.col("event_type").alias("bucket"), F.when(F.col("event_id") % 500 == 0, " ").otherwise("me").alias("by_whom"))
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("k"), F.col("event_type").alias("bucket"), F.when(F.col("event_id") % 500 == 0, " ").otherwise("me").alias("by_whom"))
     return audit.admitted_triage(rows, ["k"], ["bucket", "by_whom"])
 
 
 @query("""
-WITH e AS (SELECT user_id, 'L' || (event_id % 4 + 1) AS level, event_type AS branch, least(1.0, value / 100) AS confidence FROM events WHERE value > 30),
+WITH e AS (SELECT user_id, 'L' || (event_id % 4 + 1) AS level, event_type AS branch, least(1.0, value / 100) AS confidence FROM events),
 b AS (SELECT user_id, branch, sum(CASE level WHEN 'L1' THEN 0.4 WHEN 'L2' THEN 0.3 WHEN 'L3' THEN 0.2 ELSE 0.1 END * confidence) AS score, count(DISTINCT level) AS levels, bool_or(level = 'L4' AND confidence > 2) AS sure FROM e GROUP BY 1, 2)
 SELECT user_id, branch, score, levels >= 2 OR sure AS agreed FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY sure DESC, round(score, 9) DESC, branch) AS rn FROM b) WHERE rn = 1
 """)
 def q30_arbitration(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").where("value > 30").select("user_id", F.concat(F.lit("L"), (F.col("event_id") % 4 + 1).cast("string")).alias("level"), F.col("event_type").alias("branch"), F.least(F.lit(1.0), F.col("value") / 100).alias("confidence"))
+    rows = table(spark, sf_dir, "events").select("user_id", F.concat(F.lit("L"), (F.col("event_id") % 4 + 1).cast("string")).alias("level"), F.col("event_type").alias("branch"), F.least(F.lit(1.0), F.col("value") / 100).alias("confidence"))
     return audit.arbitrated(rows, "user_id", {"L1": 0.4, "L2": 0.3, "L3": 0.2, "L4": 0.1}, "played")
 
 

@@ -20,11 +20,11 @@ def _visits(spark, sf_dir):
 def _outcomes(spark, sf_dir):
     u = lambda n, c: F.concat(F.lit("u"), (F.col("event_id") % n).cast("string")).alias(c)
     run = F.concat(F.lit("r"), (F.col("user_id") % 20).cast("string")).alias("run")
-    return table(spark, sf_dir, "events").where("value > 60").select(run, F.col("event_id").alias("idx"), u(401, "url"), u(53, "site_url"), "event_type")
+    return table(spark, sf_dir, "events").select(run, F.col("event_id").alias("idx"), u(401, "url"), u(53, "site_url"), "event_type")
 
 
 _VISITS = """visits AS (SELECT 'r' || (doc_id % 20) AS run, doc_id AS visit, 'u' || (doc_id % 331) AS url, CASE WHEN doc_id % 5 = 0 THEN '' ELSE 'u' || (doc_id % 97) END AS landed_url, 'u' || (doc_id % 61) AS player_url FROM documents)"""
-_OUTCOMES = """outcomes AS (SELECT 'r' || (user_id % 20) AS run, event_id AS idx, 'u' || (event_id % 401) AS url, 'u' || (event_id % 53) AS site_url, event_type FROM events WHERE value > 60)"""
+_OUTCOMES = """outcomes AS (SELECT 'r' || (user_id % 20) AS run, event_id AS idx, 'u' || (event_id % 401) AS url, 'u' || (event_id % 53) AS site_url, event_type FROM events)"""
 _MATCHED = f"""WITH {_VISITS}, {_OUTCOMES},
 hits AS (
   SELECT v.run, v.visit, tier, max(idx) AS idx FROM (SELECT run, visit, unnest([0, 1, 2]) AS tier, unnest([url, landed_url, player_url]) AS key FROM visits) v

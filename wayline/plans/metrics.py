@@ -117,14 +117,14 @@ def a19_summary(spark, sf_dir):
     return rows.groupingSets([["lang"], ["source"], ["lang", "source"], []], "lang", "source").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
 
 
-_URLS = """r AS (SELECT 'u' || (user_id * 7 + event_id % 3) AS url, event_type AS label, CASE WHEN event_id % 10 < 6 THEN 'calibration' WHEN event_id % 10 < 8 THEN 'regression' ELSE 'holdout' END AS split FROM events WHERE value > 97)"""
+_URLS = """r AS (SELECT 'u' || (user_id * 7 + event_id % 3) AS url, event_type AS label, CASE WHEN event_id % 10 < 6 THEN 'calibration' WHEN event_id % 10 < 8 THEN 'regression' ELSE 'holdout' END AS split FROM events)"""
 
 
 def _split_rows(spark, sf_dir):
     last = F.col("event_id") % 10
     split = F.when(last < 6, "calibration").when(last < 8, "regression").otherwise("holdout")
     url = F.concat(F.lit("u"), (F.col("user_id") * 7 + F.col("event_id") % 3).cast("string"))
-    return table(spark, sf_dir, "events").where("value > 97").select(url.alias("url"), F.col("event_type").alias("label"), split.alias("split"))
+    return table(spark, sf_dir, "events").select(url.alias("url"), F.col("event_type").alias("label"), split.alias("split"))
 
 
 @query(f"""WITH {_URLS}, c AS (SELECT url, label, count(*) AS n FROM r GROUP BY 1, 2),

@@ -27,7 +27,7 @@ def a3_merged_counters(spark, sf_dir):
 @query("SELECT event_type, median(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS median FROM events GROUP BY event_type")
 def a7_stage_medians(spark, sf_dir):
     rows = _events(spark, sf_dir).withColumn("k", F.get_json_object("props", "$.k").cast("long"))
-    return rows.groupBy("event_type").agg(F.median("k").alias("median"))
+    return metrics.medians(rows, "k", "event_type").where("event_type is not null").select("event_type", "median")
 
 
 _CLAUSES = """entries AS (SELECT doc_id, source AS clause, quality AS gold, CASE WHEN doc_id % 6 = 0 THEN NULL ELSE CAST((doc_id // 3) % 2 AS INTEGER) END AS pred FROM documents JOIN labels USING (doc_id))"""
@@ -68,13 +68,13 @@ def a17_vague_rate(spark, sf_dir):
 
 
 @query("""
-SELECT user_id, CASE max(CASE event_type WHEN 'error' THEN 3 WHEN 'purchase' THEN 2 WHEN 'click' THEN 1 ELSE 0 END) WHEN 3 THEN 'llm' WHEN 2 THEN 'no_client' WHEN 1 THEN 'data' ELSE '' END AS cause FROM events WHERE value > 120 GROUP BY user_id
+SELECT user_id, CASE max(CASE event_type WHEN 'error' THEN 3 WHEN 'purchase' THEN 2 WHEN 'click' THEN 1 ELSE 0 END * (value > 120)::INT) WHEN 3 THEN 'llm' WHEN 2 THEN 'no_client' WHEN 1 THEN 'data' ELSE '' END AS cause FROM events GROUP BY user_id
 """)
 def a23_cause(spark, sf_dir):
-    """The gravest cause of each run."""
+    """The gravest cause of each run; events of small value are no causes."""
     rank = F.when(F.col("event_type") == "error", 3).when(F.col("event_type") == "purchase", 2).when(F.col("event_type") == "click", 1).otherwise(0)
-    name = F.element_at(F.array(*map(F.lit, ("", "data", "no_client", "llm"))), F.max(rank) + 1)
-    return _events(spark, sf_dir).where("value > 120").groupBy("user_id").agg(name.alias("cause"))
+    name = F.element_at(F.array(*map(F.lit, ("", "data", "no_client", "llm"))), F.max(F.when(F.col("value") > 120, rank).otherwise(0)) + 1)
+    return _events(spark, sf_dir).groupBy("user_id").agg(name.alias("cause"))
 
 
 @query("""
@@ -155,7 +155,7 @@ def j23_call_results(spark, sf_dir):
     """Each call with the first later result before the stretch ends."""
     w = W.partitionBy("user_id").orderBy("event_id")
     rows = _events(spark, sf_dir).select("event_id", "user_id", "event_type").withColumn("island", F.sum((F.col("event_type") == "view").cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0)))
-    after = W.partitionBy("user_id", "island").orderBy("event_id").rowsBetween(1, W.unboundedFollowing)
+    after = W.partitionBy("user_id", "island").orderBy(F.desc("event_id")).rowsBetween(W.unboundedPreceding, -1)
     rows = rows.withColumn("result", F.min(F.when(F.col("event_type") == "purchase", F.col("event_id"))).over(after))
     return rows.where("event_type = 'click' and result is not null").select(F.col("event_id").alias("call"), "result")
 
@@ -316,10 +316,10 @@ query()(w9_similar_runs)
 
 
 @query("""
-WITH s AS (SELECT event_id, event_type AS stratum, count(*) OVER (PARTITION BY event_type) AS population, row_number() OVER (PARTITION BY event_type ORDER BY sha256('x4' || chr(1) || event_id), event_id) AS rn FROM events WHERE value > 150)
+WITH s AS (SELECT event_id, event_type AS stratum, count(*) OVER (PARTITION BY event_type) AS population, row_number() OVER (PARTITION BY event_type ORDER BY sha256('x4' || chr(1) || event_id), event_id) AS rn FROM events)
 SELECT stratum, max(population) AS population, count(*) AS drawn, greatest(40 - max(population), 0) AS short_by FROM s WHERE rn <= 40 GROUP BY stratum
 """)
 def x4_sample_account(spark, sf_dir):
     """What a stratified sample drew, and by how much strata fell short."""
-    drawn = selection.draw(_events(spark, sf_dir).where("value > 150").select("event_id", F.col("event_type").alias("stratum")), ["stratum"], 40, "x4", ["event_id"])
+    drawn = selection.draw(_events(spark, sf_dir).select("event_id", F.col("event_type").alias("stratum")), ["stratum"], 40, "x4", ["event_id"])
     return drawn.groupBy("stratum").agg(F.max("population").alias("population"), F.count("*").alias("drawn"), F.greatest(40 - F.max("population"), F.lit(0)).alias("short_by"))

@@ -82,10 +82,10 @@ _SPLITS = "list_sort(list(DISTINCT CASE WHEN event_id % 10 < 6 THEN 'calibration
 
 @query(f"""
 SELECT user_id, CASE WHEN list_contains(s, 'holdout') THEN 'holdout' WHEN list_contains(s, 'regression') THEN 'regression' ELSE 'calibration' END AS split,
-  len([x for x in s if x NOT IN ('calibration', 'regression')]) = 0 AS open FROM (SELECT user_id, {_SPLITS} AS s FROM events WHERE value > 95 GROUP BY user_id)
+  len([x for x in s if x NOT IN ('calibration', 'regression')]) = 0 AS open FROM (SELECT user_id, {_SPLITS} AS s FROM events GROUP BY user_id)
 """)
 def h21_strict_split(spark, sf_dir):
     last = F.col("event_id") % 10
     split = F.when(last < 6, "calibration").when(last < 8, "regression").otherwise("holdout")
-    rows = table(spark, sf_dir, "events").where("value > 95").groupBy("user_id").agg(F.collect_set(split).alias("splits"))
+    rows = table(spark, sf_dir, "events").groupBy("user_id").agg(F.collect_set(split).alias("splits"))
     return rows.select("user_id", arrays.strict_split(F.col("splits")).alias("split"), arrays.splits_within(F.col("splits"), ["calibration", "regression"]).alias("open"))

@@ -100,8 +100,8 @@ def t7_candidate_reasons(spark, sf_dir):
 
 @query(f"""
 WITH p AS (SELECT DISTINCT lower({_HOST}) AS host, regexp_replace({_PATH}, '\\.html$', '') AS path FROM pages),
-t AS (SELECT host, path, trim(path, '/') AS s FROM p)
-SELECT count(*) AS pairs, count(DISTINCT a.host) AS hosts FROM t a JOIN t b ON a.host = b.host AND (a.s = b.s OR (a.s <> '' AND starts_with(b.s, a.s || '/')) OR (b.s <> '' AND starts_with(a.s, b.s || '/')))
+t AS (SELECT DISTINCT host, CASE WHEN path = '' THEN '/' ELSE path END AS s FROM p)
+SELECT count(*) AS pairs, count(DISTINCT a.host) AS hosts FROM t a JOIN t b ON a.host = b.host AND CASE WHEN a.s = '/' OR b.s = '/' THEN a.s = b.s ELSE starts_with(a.s, b.s) OR starts_with(b.s, a.s) END
 """)
 def j17_prefix_pairs(spark, sf_dir):
     rows = table(spark, sf_dir, "pages").select(urls.host(F.col("url")).alias("host"), F.regexp_replace(urls.path(F.col("url")), r"\.html$", "").alias("path")).distinct()

@@ -75,31 +75,17 @@ def tolerant_pool(lines: DataFrame, schema: str) -> DataFrame:
 
 
 def json_objects(text: str) -> list[str]:
-    """The top-level objects of concatenated JSON, by depth of braces outside strings; broken ones are left out."""
-    out, depth, start, quoted, escaped = [], 0, 0, False, False
-    for i, c in enumerate(text):
-        if quoted:
-            if escaped:
-                escaped = False
-            elif c == "\\":
-                escaped = True
-            elif c == '"':
-                quoted = False
-        elif c == '"' and depth:
-            quoted = True
-        elif c == "{":
-            if not depth:
-                start = i
-            depth += 1
-        elif c == "}" and depth:
-            depth -= 1
-            if not depth:
-                try:
-                    json.loads(text[start : i + 1])
-                except ValueError:
-                    continue
-                out.append(text[start : i + 1])
-    return out
+    """The top-level objects of concatenated JSON, each as written; what is no object is passed over."""
+    decoder, found, at = json.JSONDecoder(), [], text.find("{")
+    while at >= 0:
+        try:
+            _, end = decoder.raw_decode(text, at)
+        except ValueError:
+            end = at + 1
+        else:
+            found.append(text[at:end])
+        at = text.find("{", end)
+    return found
 
 
 def split_objects(files: DataFrame) -> DataFrame:
@@ -114,8 +100,9 @@ def split_objects(files: DataFrame) -> DataFrame:
 
 
 def append_new(pool: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows to append: those whose key the pool lacks, the first of equal ones."""
-    rank = F.row_number().over(W.partitionBy(*keys).orderBy(F.lit(1)))
+    """The rows to append: those whose key the pool lacks, of equal keys the row of the smallest hash."""
+    rest = [F.col(name) for name in rows.columns if name not in keys]
+    rank = F.row_number().over(W.partitionBy(*keys).orderBy(F.xxhash64(*rest) if rest else F.lit(1)))
     return rows.withColumn("_rank", rank).where("_rank = 1").drop("_rank").join(pool.select(*keys).distinct(), keys, "left_anti")
 
 
