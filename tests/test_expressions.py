@@ -112,3 +112,11 @@ def test_absolute_urls(spark):
     pairs = [("https://a.b/c/d", "../x?y#z"), ("https://a.b", "//c.d/e"), ("", "x"), (None, "x"), ("https://a.b/", "http://[bad")]
     got = [r[0] for r in frame(spark, pairs, "b string, h string").select(python.absolute_url(F.col("b"), F.col("h"))).collect()]
     assert got[:4] == [urljoin(b, h) if b is not None else None for b, h in pairs[:4]] and got[4] is None
+
+
+def test_media_links(spark):
+    from wayline.operators.contracts import media_links
+
+    html = """<video class=x src="/a.mp4"><source src='b.webm'></video><iframe src="https://f/e"></iframe><a href="c.MP4?x">c</a><a href="d.html">d</a><a href="/a.mp4">a</a><img src="no.mp4">"""
+    got = frame(spark, [(html,)], "h string").select(media_links(F.col("h"), ["mp4", "webm"]).alias("m")).first()[0]
+    assert got.media == ["/a.mp4", "b.webm", "c.MP4?x"] and got.frames == ["https://f/e"]

@@ -108,14 +108,14 @@ def q33_review_apply(spark, sf_dir):
 
 
 @query("""
-WITH a AS (SELECT doc_id, quality AS label, CASE WHEN doc_id % 4 = 0 THEN 2 ELSE 1 END AS round FROM labels), m AS (SELECT doc_id + 100 AS old, doc_id AS new FROM documents WHERE doc_id % 10 = 3)
+WITH a AS (SELECT doc_id, quality AS label, CASE WHEN toxic = 1 THEN 2 ELSE 1 END AS round FROM labels), m AS (SELECT doc_id + 100 AS old, doc_id AS new FROM documents WHERE lang = 'fr')
 SELECT coalesce(m.new, a.doc_id) AS doc_id, count(*) AS n, CAST(sum(label) AS BIGINT) AS positive FROM a LEFT JOIN m ON a.doc_id = m.old WHERE round = 1 AND coalesce(m.new, a.doc_id) IN (SELECT doc_id FROM documents) GROUP BY 1
 """)
 def j21_annotations(spark, sf_dir):
     """First-round annotations on the candidates their ids, old or new, stand for."""
     docs = table(spark, sf_dir, "documents").select("doc_id")
-    alias = docs.where("doc_id % 10 = 3").select((F.col("doc_id") + 100).alias("old"), F.col("doc_id").alias("new"))
-    rows = table(spark, sf_dir, "labels").where("doc_id % 4 <> 0").join(alias, F.col("doc_id") == F.col("old"), "left")
+    alias = table(spark, sf_dir, "documents").where("lang = 'fr'").select((F.col("doc_id") + 100).alias("old"), F.col("doc_id").alias("new"))
+    rows = table(spark, sf_dir, "labels").where("toxic = 0").join(alias, F.col("doc_id") == F.col("old"), "left")
     rows = rows.select(F.coalesce("new", "doc_id").alias("doc_id"), "quality").join(docs, "doc_id", "left_semi")
     return rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum("quality").cast("long").alias("positive"))
 

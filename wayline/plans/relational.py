@@ -58,9 +58,9 @@ def r_intersect(spark, sf_dir):
     return table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k")).intersect(table(spark, sf_dir, "supplier").select("s_nationkey"))
 
 
-@query("SELECT n_nationkey AS k FROM nation EXCEPT SELECT s_nationkey FROM supplier WHERE s_suppkey % 3 = 0")
+@query("SELECT n_nationkey AS k FROM nation EXCEPT SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000")
 def r_except(spark, sf_dir):
-    return table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k")).subtract(table(spark, sf_dir, "supplier").where("s_suppkey % 3 = 0").select("s_nationkey"))
+    return table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k")).subtract(table(spark, sf_dir, "supplier").where("s_acctbal > 5000").select("s_nationkey"))
 
 
 @query("SELECT * FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders) WHERE rn <= 2")

@@ -198,11 +198,11 @@ def u3_sides(spark, sf_dir):
 
 
 @query("""
-WITH a AS (SELECT doc_id, 'archive' AS origin FROM documents WHERE doc_id % 3 = 0), p AS (SELECT doc_id, 'pool' AS origin FROM labels) SELECT * FROM a UNION ALL SELECT * FROM p WHERE doc_id NOT IN (SELECT doc_id FROM a)
+WITH a AS (SELECT doc_id, 'archive' AS origin FROM documents WHERE lang <> 'en'), p AS (SELECT doc_id, 'pool' AS origin FROM labels) SELECT * FROM a UNION ALL SELECT * FROM p WHERE doc_id NOT IN (SELECT doc_id FROM a)
 """)
 def u1_candidate_union(spark, sf_dir):
     """Archives, and pool rows that are in none."""
-    a = table(spark, sf_dir, "documents").where("doc_id % 3 = 0").select("doc_id", F.lit("archive").alias("origin"))
+    a = table(spark, sf_dir, "documents").where("lang <> 'en'").select("doc_id", F.lit("archive").alias("origin"))
     return a.unionByName(table(spark, sf_dir, "labels").join(a, "doc_id", "left_anti").select("doc_id", F.lit("pool").alias("origin")))
 
 
