@@ -56,9 +56,17 @@ def downgraded(outcomes: DataFrame, chosen: Column, branch: str) -> DataFrame:
     )
 
 
-def reviewed(outcomes: DataFrame, verdicts: DataFrame, fits: dict[str, Sequence[str]]) -> DataFrame:
-    """outcomes with people's verdicts: one that fits the question sets the branch, another is kept beside it."""
+def reviewed(outcomes: DataFrame, verdicts: DataFrame, fits: dict[str, Sequence[str]], known: Sequence[str] | None = None, reviewable: Sequence[str] | None = None) -> DataFrame:
+    """outcomes with people's verdicts: one that fits the question sets the branch, another is kept beside it.
+
+    A verdict that is not among the known ones is an error; outcomes whose branch is not reviewable stay as they are.
+    """
+    if known is not None:
+        stop = F.raise_error(F.concat(F.lit("unknown verdict: "), F.col("verdict"))).cast("string")
+        verdicts = verdicts.withColumn("verdict", F.when(F.col("verdict").isNull() | F.col("verdict").isin(list(known)), F.col("verdict")).otherwise(stop))
     rows = outcomes.join(verdicts.select("run", "url", "verdict"), ["run", "url"], "left")
+    if reviewable is not None:
+        rows = rows.withColumn("verdict", F.when(F.col("branch").isin(list(reviewable)), F.col("verdict")))
     fit = F.lit(False)
     for question, labels in fits.items():
         fit = fit | ((F.col("question") == question) & F.col("verdict").isin(*labels))
@@ -84,13 +92,24 @@ def gate(criteria: DataFrame) -> DataFrame:
     )
 
 
-def dual_run(a: DataFrame, b: DataFrame, share_line: float = 0.05, median_line: float = 0.3) -> DataFrame:
+def dual_run(a: DataFrame, b: DataFrame, share_line: float = 0.05) -> DataFrame:
     """Branch shares of two corpora side by side and whether they differ by more than the line."""
-    share = lambda df, name: df.groupBy("branch").agg(F.count("*").alias("n")).select("branch", (F.col("n") / df.count()).alias(name))
-    rows = share(a, "a").join(share(b, "b"), "branch", "full").na.fill(0.0, ["a", "b"])
+    both = a.select("branch", F.lit("a").alias("side")).unionByName(b.select("branch", F.lit("b").alias("side")))
+    counts = both.groupBy("branch", "side").agg(F.count("*").alias("n"))
+    totals = both.groupBy("side").agg(F.count("*").alias("total"))  # two rows
+    share = lambda side: F.coalesce(F.sum(F.when(F.col("side") == side, F.col("n") / F.col("total"))), F.lit(0.0)).alias(side)
+    rows = counts.join(F.broadcast(totals), "side").groupBy("branch").agg(share("a"), share("b"))
     return rows.withColumn("over", F.abs(F.col("a") - F.col("b")) > share_line)
 
 
+def median_shift(a: DataFrame, b: DataFrame, value: str, by: str, line: float = 0.3) -> DataFrame:
+    """Medians of two corpora by family side by side, their relative difference, and whether it is above the line; a family that
+    only one corpus has, or whose first median is 0, has no difference."""
+    half = lambda df, name: metrics.medians(df, value, by).where(F.col(by).isNotNull()).select(by, F.col("median").alias(name))
+    rows = half(a, "a").join(half(b, "b"), by, "full")
+    return rows.withColumn("difference", F.try_divide(F.abs(F.col("a") - F.col("b")), "a")).withColumn("over", F.coalesce(F.col("difference") > line, F.lit(False)))
+
+
 def retest(rounds: DataFrame) -> DataFrame:
     """Kappa of labels between the first and second round of rounds(id, round, label)."""
     one = rounds.where("round = 1").select("id", F.col("label").alias("first"))

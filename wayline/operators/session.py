@@ -109,3 +109,21 @@ def element_ladder(elements: DataFrame, keys: Sequence[str], roles: Sequence[str
     out = pairs.groupBy(*keys).agg(count(~known).alias("role_unmatched"), count(known & ~named).alias("nameless_dropped"), count(known & named & (F.col("n") > 1)).alias("ambiguous_dropped"), unique.alias("unique"))
     kept = F.least("unique", F.lit(limit))
     return out.withColumn("kept", kept).withColumn("truncated", F.col("unique") - kept).drop("unique")
+
+
+def training_value(components: dict[str, Column], weights: dict[str, float], easy: float = 0.7, medium: float = 0.4) -> Column:
+    """(score, tier) of a session: the weighted mean of its components, each from 0 to 1, and easy, medium or hard by it."""
+    total = sum(weights[name] for name in components)
+    mean = sum((components[name] * weights[name] for name in components), F.lit(0.0)) / total if total > 0 else F.lit(0.5)
+    score = F.greatest(F.lit(0.0), F.least(F.lit(1.0), mean))
+    tier = F.when(score >= easy, "easy").when(score >= medium, "medium").otherwise("hard")
+    return F.struct(F.round(score, 4).alias("score"), tier.alias("tier"))
+
+
+def session_components(calls: DataFrame, key: str) -> DataFrame:
+    """(key, health, diversity) of calls(key, name, state): the share of calls and failed results that are no failures, and the
+    share of distinct tools among the calls; 0.7 and 0.5 where nothing was called."""
+    failed = F.count(F.when(F.coalesce(F.col("state") != "success", F.lit(False)), 1))
+    n, kinds = F.count("name"), F.countDistinct("name")
+    health = F.when(n == 0, 0.7).otherwise(1 - failed / F.greatest(F.lit(1), n + failed))
+    return calls.groupBy(key).agg(health.alias("health"), F.when(n == 0, 0.5).otherwise(kinds / n).alias("diversity"))

@@ -6,7 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wayline.functions import urls
-from wayline.operators import contracts, scoring
+from wayline.operators import contracts, gates, scoring
 from wayline.plans.catalog import query
 from wayline.session import table
 
@@ -231,3 +231,13 @@ def a16_judge_agreement(spark, sf_dir):
     pairs = F.array(pair("d10", F.col("quality"), F.col("toxic")), pair("d4", n % 5 + 1, F.floor(n / 2) % 5 + 1))
     flat = rows.select(F.explode(pairs).alias("p")).select("p.*")
     return contracts.judge_agreement(flat, "dimension", "d10", 1, 5)
+
+
+@query("""
+WITH m AS (SELECT lang, median(n_chars) FILTER (source >= 'src5') AS a, median(n_chars) FILTER (source < 'src5') AS b FROM documents GROUP BY lang)
+SELECT lang, a, b, abs(a - b) / nullif(a, 0) AS difference, coalesce(abs(a - b) / nullif(a, 0) > 0.3, false) AS over FROM m WHERE a IS NOT NULL OR b IS NOT NULL
+""")
+def q22_median_shift(spark, sf_dir):
+    """Lengths of two corpora by language: those of some sources, and those of the others."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars")
+    return gates.median_shift(docs.where("source >= 'src5'"), docs.where("source < 'src5'"), "n_chars", "lang")

@@ -102,3 +102,16 @@ SELECT user_id, role_unmatched, nameless_dropped, ambiguous_dropped, least(u, 20
 def a8_element_ladder(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("at"), F.col("event_type").alias("role"), F.when(F.col("event_id") % 8 == 0, "").otherwise(F.concat("event_type", (F.col("event_id") % 50).cast("string"))).alias("name"))
     return session.element_ladder(rows, ["user_id"], ["click", "view", "signup"], 20)
+
+
+@query(f"""
+WITH {_CALLS}, c AS (SELECT session, 1 - count(*) FILTER (state <> 'success') / (count(*) + count(*) FILTER (state <> 'success')) AS health, count(DISTINCT name) / count(*) AS diversity FROM calls GROUP BY session),
+s AS (SELECT session, greatest(0.0, least(1.0, (health * 0.25 + (session % 11) / 10.0 * 0.25 + (session % 3) / 2.0 * 0.2 + 0.5 * 0.1 + diversity * 0.1) / 0.9)) AS score FROM c)
+SELECT session, round(score, 4) AS score, CASE WHEN score >= 0.7 THEN 'easy' WHEN score >= 0.4 THEN 'medium' ELSE 'hard' END AS tier FROM s
+""")
+def a39_training_value(spark, sf_dir):
+    """Health and diversity from a user's calls; the judge's score, the intent fulfilled and the share kept from elsewhere."""
+    rows = session.session_components(_calls(spark, sf_dir), "session")
+    parts = {"health": F.col("health"), "judge": F.col("session") % 11 / 10, "intent": F.col("session") % 3 / 2, "modified": F.lit(0.5), "diversity": F.col("diversity")}
+    told = session.training_value(parts, {"health": 0.25, "judge": 0.25, "intent": 0.2, "modified": 0.1, "diversity": 0.1})
+    return rows.select("session", told["score"].alias("score"), told["tier"].alias("tier"))

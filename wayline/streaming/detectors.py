@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from wayline.sources.records import append_missing
+
 EVENTS = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
 
 
@@ -49,6 +51,56 @@ def circuit_breaks(calls: DataFrame, threshold: int = 3) -> DataFrame:
     return calls.groupBy("user_id").applyInPandasWithState(run, "user_id long, event_id long", "failures int", "append", GroupStateTimeout.NoTimeout)
 
 
+def page_loops(steps: DataFrame, repeats: int = 3, empty: int = 3, memory: int = 8) -> DataFrame:
+    """(run, at, reason) wherever the last steps of steps(run, at, host, action, body_len) go round in a circle: repeat_action
+    where the last `repeats` are one action on one host, else empty_body where the last `empty` saw no body.
+
+    The state of a run is its last `memory` steps; a step without an action repeats none.
+    """
+
+    def reason(last: list[str]) -> str:
+        rows = [x.split("\t") for x in last]
+        tail = rows[-repeats:]
+        if len(tail) == repeats and tail[0][1] and len({(host, action) for host, action, _ in tail}) == 1:
+            return "repeat_action"
+        tail = rows[-empty:]
+        return "empty_body" if len(tail) == empty and all(int(n) <= 0 for _, _, n in tail) else ""
+
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last, found = list(state.get[0]) if state.exists else [], []
+        rows = pd.concat(list(batches)).sort_values("at")
+        for at, host, action, n in zip(rows["at"], rows["host"], rows["action"], rows["body_len"], strict=True):
+            last = [*last, f"{(host or '').lower()}\t{action or ''}\t{int(n or 0)}"][-memory:]
+            if why := reason(last):
+                found.append((key[0], at, why))
+        state.update((last,))
+        yield pd.DataFrame(found, columns=["run", "at", "reason"])
+
+    kinds = dict(steps.dtypes)
+    return steps.groupBy("run").applyInPandasWithState(run, f"run {kinds['run']}, at {kinds['at']}, reason string", "last array<string>", "append", GroupStateTimeout.NoTimeout)
+
+
+def status_breaks(calls: DataFrame, threshold: int = 3, harmless: Sequence[int] = ()) -> DataFrame:
+    """(run, at, status) of the calls(run, at, status) at which `threshold` statuses of 4xx without a success between them have
+    opened the circuit of a run. Harmless ones and other failures neither count nor reset."""
+
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        count, found = state.get[0] if state.exists else 0, []
+        rows = pd.concat(list(batches)).sort_values("at")
+        for at, status in zip(rows["at"], rows["status"], strict=True):
+            if 200 <= status < 300:
+                count = 0
+            elif 400 <= status < 500 and status not in harmless:
+                count += 1
+                if count == threshold:
+                    found.append((key[0], at, status))
+        state.update((count,))
+        yield pd.DataFrame(found, columns=["run", "at", "status"])
+
+    kinds = dict(calls.dtypes)
+    return calls.groupBy("run").applyInPandasWithState(run, f"run {kinds['run']}, at {kinds['at']}, status int", "count int", "append", GroupStateTimeout.NoTimeout)
+
+
 def windows(events: DataFrame, late: str = "10 minutes", size: str = "1 hour", slide: str | None = None) -> DataFrame:
     """Counts and sums by window and type; rows later than `late` are dropped."""
     grouped = events.withWatermark("ts", late).groupBy(F.window("ts", size, slide), "event_type")
@@ -70,10 +122,6 @@ def append_to_pool(path: str, keys: list[str]):
     """For foreachBatch: appends rows whose key the pool at path lacks; a batch that is run again adds nothing."""
 
     def run(batch: DataFrame, _: int) -> None:
-        spark, new = batch.sparkSession, batch.dropDuplicates(keys)
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-        if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-            new = new.join(spark.read.schema(batch.schema).parquet(path).select(*keys), keys, "left_anti")
-        new.write.mode("append").parquet(path)
+        append_missing(batch, path, keys)
 
     return run
