@@ -70,7 +70,8 @@ def page_loops(steps: DataFrame, repeats: int = 3, empty: int = 3, memory: int =
         last, found = list(state.get[0]) if state.exists else [], []
         rows = pd.concat(list(batches)).sort_values("at")
         for at, host, action, n in zip(rows["at"], rows["host"], rows["action"], rows["body_len"], strict=True):
-            last = [*last, f"{(host or '').lower()}\t{action or ''}\t{int(n or 0)}"][-memory:]
+            host, action, n = ("" if pd.isna(host) else host.lower()), ("" if pd.isna(action) else action), (0 if pd.isna(n) else int(n))
+            last = [*last, f"{host}\t{action}\t{n}"][-memory:]
             if why := reason(last):
                 found.append((key[0], at, why))
         state.update((last,))
