@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
 
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _QUOTE = re.compile("[>\"']")
+#: A tag without quotes.
+_PLAIN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>\"']*)>")
 _NAME = re.compile(r"/?[a-zA-Z][^\s/>]*")
 
 # Fixed values of HTML: elements by the way they are parsed.
@@ -48,6 +50,9 @@ def tokens(html: str) -> Iterator[tuple[str, str | None, str, int]]:
             end = size if end < 0 else end
             at = (yield html[at:end], None, "", end) or end
             continue
+        if plain := _PLAIN.match(html, at) if at < last else None:
+            at = (yield plain[1], plain[2].lower(), plain[3], plain.end()) or plain.end()
+            continue
         if html.startswith("<!--", at):
             end = html.find("-->", at)
             at = size if end < 0 else end + 3
@@ -77,11 +82,11 @@ def tokens(html: str) -> Iterator[tuple[str, str | None, str, int]]:
 def parse(html: str) -> Node:
     """The tree of a page: unclosed elements end where HTML ends them, stray end tags are left out."""
     root = Node("#page")
-    stack, opened = [root], Counter()
+    stack, opened = [root], defaultdict(int)
 
     def close(k: int) -> None:
-        opened.subtract(node.tag for node in stack[k:])
-        del stack[k:]
+        while len(stack) > k:
+            opened[stack.pop().tag] -= 1
 
     source, skip = tokens(html), None
     while True:
@@ -95,7 +100,10 @@ def parse(html: str) -> Node:
             continue
         if text:
             if opened[tag] > 0:
-                close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag))
+                k = len(stack) - 1
+                while stack[k].tag != tag:
+                    k -= 1
+                close(k)
             continue
         if tag in CLOSES_P:
             for k in range(len(stack) - 1, 0, -1):
