@@ -32,8 +32,6 @@ from wayline.llm.common import row_key, whole_text, written
 
 #: Labelled rows that the lexicon and the regression are fitted on at most.
 SAMPLE = 20_000
-#: Word beginnings in the lexicon at most: those of most evidence.
-LEXICON = 5_000
 #: Nats of evidence against chance that a word beginning needs.
 EVIDENCE = 16.0
 #: Distinct tokens a worker remembers; beyond it the memory starts anew.
@@ -244,7 +242,7 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     share, here = F.lit(toxic / (clean + toxic)), F.col("toxic") / (F.col("clean") + F.col("toxic"))
     against = F.when(F.col("clean") > 0, F.col("clean") * F.log((1 - here) / (1 - share))).otherwise(0.0)
     shown = counts.where(here > share).withColumn("evidence", F.col("toxic") * F.log(here / share) + against).where(F.col("evidence") > EVIDENCE)
-    shown = shown.orderBy(F.desc("evidence"), "start").limit(LEXICON).collect()
+    shown = shown.collect()  # what SAMPLE texts show with that much evidence
     weights = {r.start: math.log((r.toxic + 0.5) / (toxic + 1)) - math.log((r.clean + 0.5) / (clean + 1)) for r in shown}
     lexicon = spark.sparkContext.broadcast(weights)
     read = evidence(model, lexicon)
