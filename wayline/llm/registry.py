@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wayline.llm import q_bpe, q_chat, q_hilbert, q_minhash, q_mixing, q_repeats, q_secrets, q_topk, q_toxicity, q_wrapper
+from wayline.llm import q_bpe, q_chat, q_hilbert, q_interactions, q_minhash, q_mixing, q_repeats, q_secrets, q_topk, q_toxicity, q_wrapper
 
 QUERIES = {
     "op1_secrets": q_secrets.op1_secrets,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_hilbert": q_hilbert.op8_hilbert,
     "op9_toxicity": q_toxicity.op9_toxicity,
     "op10_topk": q_topk.op10_topk,
+    "op11_filter_audit": q_interactions.op11_filter_audit,
 }
 
 ORACLES: dict[str, str] = {
     "op1_secrets": q_secrets.ORACLE,
     "op4_chat": q_chat.ORACLE,
     "op10_topk": q_topk.ORACLE,
+    "op11_filter_audit": q_interactions.ORACLE,
 }
