@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wayline.llm import q_bpe, q_chat, q_hilbert, q_interactions, q_minhash, q_mixing, q_repeats, q_secrets, q_topk, q_toxicity, q_wrapper
+from wayline.llm import q_bpe, q_chat, q_hilbert, q_interactions, q_minhash, q_mixing, q_planes, q_repeats, q_secrets, q_topk, q_toxicity, q_wrapper
 
 QUERIES = {
     "op1_secrets": q_secrets.op1_secrets,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_toxicity": q_toxicity.op9_toxicity,
     "op10_topk": q_topk.op10_topk,
     "op11_filter_audit": q_interactions.op11_filter_audit,
+    "op12_bit_planes": q_planes.op12_bit_planes,
 }
 
 ORACLES: dict[str, str] = {
