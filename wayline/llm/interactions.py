@@ -32,6 +32,8 @@ from wayline.llm.common import whole_text
 
 #: Bytes of texts that a task keeps to find copies in its own partition.
 HELD = 32 << 20
+#: Bytes of texts that a task of the shuffle by fingerprint is meant to read.
+ROUTED = 64 << 20
 CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SYMBOLS = b"#$%&*|"
 #: The name of the filter that fails later copies.
@@ -138,7 +140,8 @@ def masks(docs: DataFrame, filters: Filters = FILTERS, part: str = "source") ->
     copy = 1 << len(filters)
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col(part).cast("string"), F.lit("")), whole_text()).rdd
     spark = docs.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.getNumPartitions())
+    size = docs.agg(F.sum(F.octet_length(whole_text()))).first()[0] or 0  # an RDD's partitions are not fitted to its size later
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // ROUTED + 1)
     first = rows.mapPartitions(lambda part: first_copies(part, filters, copy))
     routed = first.repartitionAndSortWithinPartitions(n, lambda key: key[0])
     found = routed.mapPartitions(lambda part: later_copies(part, copy))
