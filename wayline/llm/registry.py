@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wayline.llm import q_bpe, q_chat, q_hilbert, q_interactions, q_minhash, q_mixing, q_planes, q_repeats, q_secrets, q_topk, q_toxicity, q_wrapper
+from wayline.llm import q_bpe, q_chat, q_hilbert, q_interactions, q_minhash, q_mixing, q_planes, q_repeats, q_secrets, q_topk, q_toxicity, q_tries, q_wrapper
 
 QUERIES = {
     "op1_secrets": q_secrets.op1_secrets,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_topk": q_topk.op10_topk,
     "op11_filter_audit": q_interactions.op11_filter_audit,
     "op12_bit_planes": q_planes.op12_bit_planes,
+    "op13_prefix_trie": q_tries.op13_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
@@ -24,4 +25,5 @@ ORACLES: dict[str, str] = {
     "op4_chat": q_chat.ORACLE,
     "op10_topk": q_topk.ORACLE,
     "op11_filter_audit": q_interactions.ORACLE,
+    "op13_prefix_trie": q_tries.ORACLE,
 }
