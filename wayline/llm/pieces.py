@@ -18,9 +18,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of words and their ids in each of the two generations that a worker remembers.
-REMEMBERED = 64 << 20
+REMEMBERED = 48 << 20
 #: What an entry of that memory takes besides.
-ENTRY = 150
+ENTRY = 200
 #: Characters after which a long text is cut.
 LONG = 1 << 22
 
@@ -114,7 +114,7 @@ class Encoder:
             cut = pc.replace_substring_regex(cut, pattern, between)
         words = pc.split_pattern(cut, "\0")
         coded = words.flatten().dictionary_encode()
-        codes = coded.indices.to_numpy().astype(np.int64)
+        codes = coded.indices.to_numpy().copy()
         offsets = words.offsets.to_numpy()
         distinct = coded.dictionary.to_pylist()
         codes[offsets[:-1][whole]] = len(distinct) + np.arange(int(whole.sum()))
@@ -124,7 +124,10 @@ class Encoder:
         flat = np.frombuffer(b"".join(found), dtype="<u4")
         sizes = lengths[codes]
         ends = np.cumsum(sizes)
-        ids = flat[np.repeat(begins[codes] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        shifts = (begins[codes] - (ends - sizes)).astype(np.int32)  # a batch has fewer than 2**31 ids
+        places = np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)
+        places += np.repeat(shifts, sizes)
+        ids = flat[places]
         before = np.concatenate([[0], ends])
         per_text = np.zeros(len(texts), dtype=np.int64)
         np.add.at(per_text, of, np.diff(before[offsets]))

@@ -47,7 +47,7 @@ LEVEL = 3
 #: Planes of an id by their kind.
 PLANES = {"byte": 4, "bit": 32}
 #: Bytes of texts that a task encodes at a time.
-BYTES = 8 << 20
+BYTES = 4 << 20
 
 
 def split_planes(ids: np.ndarray, kind: str) -> list[bytes]:
