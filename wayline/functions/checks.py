@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from wayline.functions.text import contains_any
 
 # Shapes of credentials by class.
-CREDENTIALS = {"assignment": r"(?i)(?:password|secret|token|api_?key)\s*[:=]\s*\S{6,}", "access": r"AKIA[A-Z0-9]{16,}", "hex": r"[0-9a-f]{24,}", "bearer": r"(?i)bearer\s+[a-z0-9._-]{16,}"}
+CREDENTIAL_CLASSES = {"assignment": r"(?i)(?:password|secret|token|api_?key)\s*[:=]\s*\S{6,}", "access": r"AKIA[A-Z0-9]{16,}", "hex": r"[0-9a-f]{24,}", "bearer": r"(?i)bearer\s+[a-z0-9._-]{16,}"}
 
 
 def credential_classes(text: Column) -> Column:
     """The classes of credentials a text shows; never their text."""
-    return F.filter(F.array(*(F.when(text.rlike(p), name) for name, p in CREDENTIALS.items())), lambda x: x.isNotNull())
+    return F.filter(F.array(*(F.when(text.rlike(p), name) for name, p in CREDENTIAL_CLASSES.items())), lambda x: x.isNotNull())
 
 
 def shape(text: Column) -> Column:

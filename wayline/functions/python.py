@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from bisect import bisect_left
 from difflib import SequenceMatcher
 from itertools import groupby
 from urllib.parse import urljoin
@@ -17,6 +18,8 @@ _STRING, _BOOLEAN, _INT = T.StringType(), T.BooleanType(), T.IntegerType()
 _LEAVES = T.ArrayType(T.StructType([T.StructField("path", _STRING), T.StructField("value", _STRING)]))
 
 _SPACE = re.compile(r"\s+")
+#: The shortest and the longest quotation that anchors a text.
+_GRAM, _LONGEST = 4, 40
 
 
 @F.pandas_udf(_STRING)
@@ -54,25 +57,92 @@ def alike(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([same(a, b) for a, b in zip(left, right, strict=True)], dtype=bool)
 
 
+def _anchor(text: str, evidence: str) -> str:
+    """From the first place of the text whose four characters the evidence has, as far as the evidence goes on, to at most forty; '' for none.
+
+    What begins at an earlier place would hold an earlier four, so nothing is gained to the left.
+    """
+    known = {evidence[i : i + _GRAM] for i in range(len(evidence) - _GRAM + 1)}
+    for at in range(len(text) - _GRAM + 1):
+        if text[at : at + _GRAM] in known:
+            longer = range(_GRAM + 1, min(_LONGEST, len(text) - at) + 1)
+            return text[at : at + _GRAM + bisect_left(longer, True, key=lambda n: text[at : at + n] not in evidence)]
+    return ""
+
+
 @F.pandas_udf(_STRING)
 def text_anchor(text: pd.Series, evidence: pd.Series) -> pd.Series:
-    """The first four characters in a row that the evidence has too, drawn out to the left and then to the right as long as
-    the evidence has them anywhere, to at most forty; '' for none."""
+    """The part of the text that the evidence quotes first, see _anchor()."""
+    return pd.Series([None if t is None or e is None else _anchor(t, e) for t, e in zip(text, evidence, strict=True)])
+
+
+@F.pandas_udf(T.ArrayType(_STRING))
+def text_anchors(texts: pd.Series, evidence: pd.Series) -> pd.Series:
+    """text_anchor() of each of several texts; '' for null ones and for null evidence."""
+    return pd.Series([[_anchor(t or "", e or "") for t in (() if several is None else several)] for several, e in zip(texts, evidence, strict=True)])
+
+
+class _Substrings:
+    """All substrings of a text, as the states of a suffix automaton."""
+
+    def __init__(self, text: str):
+        self.next: list[dict[str, int]] = [{}]
+        self.link, self.length = [-1], [0]
+        last = 0
+        for c in text:
+            new = self._state({}, self.length[last] + 1)
+            at, last = last, new
+            while at >= 0 and c not in self.next[at]:
+                self.next[at][c] = new
+                at = self.link[at]
+            if at < 0:
+                self.link[new] = 0
+                continue
+            old = self.next[at][c]
+            if self.length[old] == self.length[at] + 1:
+                self.link[new] = old
+                continue
+            copy = self._state(dict(self.next[old]), self.length[at] + 1)
+            self.link[copy] = self.link[old]
+            self.link[old] = self.link[new] = copy
+            while at >= 0 and self.next[at].get(c) == old:
+                self.next[at][c] = copy
+                at = self.link[at]
+
+    def _state(self, following: dict[str, int], length: int) -> int:
+        self.next.append(following)
+        self.link.append(0)
+        self.length.append(length)
+        return len(self.length) - 1
+
+    def ending(self, text: str) -> list[int]:
+        """For each place of another text, how many characters before and with it this text has in a row."""
+        state = size = 0
+        out = []
+        for c in text:
+            while state and c not in self.next[state]:
+                state = self.link[state]
+                size = self.length[state]
+            if c in self.next[state]:
+                state = self.next[state][c]
+                size += 1
+            out.append(size)
+        return out
+
+
+@F.pandas_udf(T.ArrayType(_STRING))
+def shared_phrases(evidence: pd.Series, text: pd.Series) -> pd.Series:
+    """The strings of four and more characters that the text has too and that reach no further to either side in the evidence,
+    in order of their places there, each once."""
+
+    def phrases(e: str | None, t: str | None) -> list[str]:
+        if not e or not t:
+            return []
+        sizes = _Substrings(t).ending(e)
+        ends = [i for i, n in enumerate(sizes) if n >= _GRAM and (i + 1 == len(sizes) or sizes[i + 1] != n + 1)]
+        return list(dict.fromkeys(e[i + 1 - sizes[i] : i + 1] for i in ends))
 
-    def anchor(t: str | None, e: str | None) -> str | None:
-        if t is None or e is None:
-            return None
-        start = next((i for i in range(len(t) - 3) if t[i : i + 4] in e), None)
-        if start is None:
-            return ""
-        end = start + 4
-        while start > 0 and end - start < 40 and t[start - 1 : end] in e:
-            start -= 1
-        while end < len(t) and end - start < 40 and t[start : end + 1] in e:
-            end += 1
-        return t[start:end]
-
-    return pd.Series([anchor(t, e) for t, e in zip(text, evidence, strict=True)])
+    return pd.Series([phrases(e, t) for e, t in zip(evidence, text, strict=True)])
 
 
 @F.pandas_udf(_INT)
