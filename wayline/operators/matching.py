@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from wayline.operators.prefixes import prefix_meetings
+
 
 def match_visits(visits: DataFrame, outcomes: DataFrame, keys: Sequence[str] = ("url", "landed_url", "player_url")) -> DataFrame:
     """visits with the index of their outcome and whether they have one (-1 where not).
@@ -76,16 +78,10 @@ def page_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def prefix_pairs(landings: DataFrame, anchors: DataFrame) -> DataFrame:
     """Pairs of (host, path) where one path begins with the other, character by character; the root, also written as an
-    empty path, meets the root alone.
-
-    Every path is posted under all its beginnings, so the join is on equal keys.
-    """
-    whole = lambda df, name: df.select("host", F.when(F.col("path") == "", "/").otherwise(F.col("path")).alias(name)).distinct()
-    heads = lambda path: F.transform(F.sequence(F.lit(1), F.length(path)), lambda n: F.substring(path, F.lit(1), n))
-    left, right = whole(landings, "landing"), whole(anchors, "anchor")
-    down = right.withColumn("landing", F.explode(heads(F.col("anchor")))).where("landing <> '/' or anchor = '/'")
-    up = left.withColumn("anchor", F.explode(heads(F.col("landing")))).where("anchor <> '/' or landing = '/'")
-    return left.join(down, ["host", "landing"]).select("host", "landing", "anchor").unionByName(up.join(right, ["host", "anchor"]).select("host", "landing", "anchor")).distinct()
+    empty path, meets the root alone. Rows without a host or path meet none."""
+    side = lambda df, first, asked: df.where("host IS NOT NULL AND path IS NOT NULL").select(F.col("host").alias("group"), "path", F.lit(first).cast("long").alias("first"), F.lit(asked).alias("asked"))
+    met = prefix_meetings(side(landings, None, True).unionByName(side(anchors, 0, False)), pairs=True)
+    return met.select(F.col("group").alias("host"), F.col("path").alias("landing"), "anchor")
 
 
 def version_diff(previous: DataFrame, current: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,3 +43,13 @@ def with_package(spark: SparkSession) -> SparkSession:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's Parquet tables, by any path Spark can read."""
     return with_package(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df, computed once and kept in the folder of spark.checkpoint.dir with its partitions; in local mode in one of our own where that is unset."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and the executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="wayline-"))
+    return df.checkpoint()
