@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wayline.functions import arrays, text
-from wayline.operators import selection
+from wayline.operators import bodies
 from wayline.plans.catalog import query
 from wayline.session import table
 
@@ -73,7 +73,39 @@ SELECT doc_id, text, cut OR length(text) > 400 AS truncated FROM joined
 """)
 def t1_digest(spark, sf_dir):
     """A digest of each document within 400 characters."""
-    return selection.digest(_scored(spark, sf_dir), ["doc_id"], 400)
+    shown = bodies.digest(F.col("text"), NOISE, KEEP, F.lit(FOCUS), KEYWORDS, 400)
+    rows = table(spark, sf_dir, "documents").where(F.size(text.candidate_lines(F.col("text"), NOISE)) > 0)
+    return rows.select("doc_id", shown.alias("shown")).select("doc_id", "shown.text", "shown.truncated")
+
+
+#: Lines that a model would have picked, last ones first: those that hold a syllable; those of German documents hold a line that is not there.
+SYLLABLE = "an"
+
+
+@query(rf"""
+WITH raw AS (SELECT doc_id, lang, generate_subscripts(parts, 1) AS place, unnest(parts) AS raw FROM (SELECT doc_id, lang, string_split(text, chr(10)) AS parts FROM documents)),
+stripped AS (SELECT doc_id, lang, place, regexp_replace(raw, '^\s+|\s+$', '', 'g') AS line FROM raw),
+lines AS (SELECT doc_id, lang, line, min(place) AS idx, {_NOISE} AS noise, {_SCORE} AS score FROM stripped WHERE line <> '' GROUP BY ALL),
+usable AS (SELECT doc_id FROM lines WHERE lang <> 'de' GROUP BY doc_id HAVING count(*) FILTER (contains(line, 'an')) > 0),
+kept AS (SELECT *, doc_id IN (SELECT doc_id FROM usable) AS refined FROM lines WHERE NOT noise AND (contains(line, 'an') OR score >= 4 OR doc_id NOT IN (SELECT doc_id FROM usable))),
+budget AS (
+  SELECT *, 400 - coalesce(sum(CASE WHEN score >= 4 THEN length(line) + 1 END) OVER (PARTITION BY doc_id), 0)
+    - coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id, score >= 4 ORDER BY score DESC, idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room
+  FROM kept),
+taken AS (SELECT *, CASE WHEN score >= 4 OR length(line) + 1 <= room THEN line WHEN room > 0 THEN left(line, CAST(room AS INTEGER)) END AS part FROM budget),
+joined AS (
+  SELECT doc_id, coalesce(string_agg(part, chr(10) ORDER BY idx), '') AS text, count(part) AS kept, bool_or(part IS NULL OR length(part) < length(line)) AS cut FROM taken GROUP BY doc_id),
+totals AS (SELECT doc_id, count(*) FILTER (NOT noise) AS n FROM lines GROUP BY doc_id)
+SELECT d.doc_id, coalesce(j.text, '') AS text, CAST(coalesce(kept, 0) AS INTEGER) AS kept, CAST(greatest(coalesce(n, 0) - coalesce(kept, 0), 0) AS INTEGER) AS dropped,
+  coalesce(cut OR length(j.text) > 400, false) AS truncated, CASE WHEN d.doc_id IN (SELECT doc_id FROM usable) THEN 'refined' ELSE 'rules' END AS source
+FROM documents d LEFT JOIN joined j ON j.doc_id = d.doc_id LEFT JOIN totals t ON t.doc_id = d.doc_id
+""")
+def t2_refined_view(spark, sf_dir):
+    """Each document by the lines that were picked for it, within 400 characters, by rules where they cannot be used."""
+    picked = F.reverse(F.filter(text.lines(F.col("text")), lambda x: F.contains(x, F.lit(SYLLABLE))))
+    picked = F.when(F.col("lang") == "de", F.concat(picked, F.array(F.lit("a line of another page")))).otherwise(picked)
+    shown = bodies.view(F.col("text"), picked, NOISE, KEEP, F.lit(FOCUS), KEYWORDS, 400)
+    return table(spark, sf_dir, "documents").select("doc_id", shown.alias("shown")).select("doc_id", "shown.*")
 
 
 @query("""
