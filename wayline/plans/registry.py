@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wayline.plans import anchoring, archives, audits, chats, checks, contracts, defects, drawing, golden, judgements, matching, metrics, observations, relabel, relational, reports, rewriting, sampling, sequences, sessions, tasks, texts, traces, urls  # noqa: F401
+from wayline.plans import anchoring, archives, audits, chats, checks, contracts, defects, drawing, freezing, golden, judgements, matching, metrics, observations, relabel, relational, reports, rewriting, sampling, sequences, sessions, tasks, texts, traces, urls  # noqa: F401
 from wayline.plans.catalog import ORACLES, QUERIES  # noqa: F401
 
 FLAGSHIP = "f1_noise_profile"
