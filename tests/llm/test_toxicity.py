@@ -67,3 +67,9 @@ def test_beginnings_and_regression():
     assert beginnings("ab") == ("ab",) and beginnings("abcdefgh") == ("abcd", "abcde", "abcdef")
     slope, offset = regression([(0.0, 900, 20), (5.0, 5, 80)])
     assert slope > 0 > offset and slope * 5 + offset > 0
+
+
+def test_a_long_spaced_out_run_keeps_beginnings_only():
+    reader = Reader(np.full((27, 27, 27), -3.3))
+    found = reader.words(" ".join("abcdefghij"[i % 10] for i in range(100_000)))
+    assert {"abcdef", "jabcde"} <= found and sorted({len(w) for w in found})[-1] == 6 and sum(map(len, found)) < 1000

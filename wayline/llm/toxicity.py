@@ -11,7 +11,7 @@ doc_id; everything else covers all rows. Rows whose crc32(doc_id as text) mod 5
 doc_id, lang, source and labels are no inputs of a score.
 
 Cases: null, empty and blank texts have no evidence and get the score of that; repeated rows get equal scores;
-a document with several labels counts as toxic if one says so; null labels and null doc_ids are not fitted on;
+a document with several labels counts as toxic if one says so; null labels and null doc_ids are not fitted on, nor held out;
 without labels of both kinds every score is the share of toxic labels (0 without labels); other columns are not
 read; an empty table gives an empty result.
 """
@@ -34,6 +34,8 @@ from wayline.llm.common import row_key, whole_text, written
 SAMPLE = 20_000
 #: Nats of evidence against chance that a word beginning needs.
 EVIDENCE = 16.0
+#: Letters of the shortest and the longest beginning of a word.
+SHORTEST, LONGEST = 4, 6
 #: Distinct tokens a worker remembers; beyond it the memory starts anew.
 REMEMBERED = 100_000
 
@@ -146,13 +148,14 @@ class Reader(dict):
         found = {self[t] for t in set(low.split())}
         for m in SPACED.finditer(low):
             letters = self.restore("".join(c for c in m[0] if c not in " .-_*"))
-            found.update(letters[i:] for i in range(len(letters) - 3))  # a word may start at any of them
+            # a word may start at any of them, and no more than its beginning is read
+            found.update(letters[i : i + LONGEST] for i in range(len(letters) - 3))
         found.discard(None)
         return found
 
 
 def beginnings(word: str) -> tuple[str, ...]:
-    return (word[:4], word[:5], word[:6])[: max(1, min(3, len(word) - 3))]
+    return tuple(word[:n] for n in range(SHORTEST, LONGEST + 1))[: max(1, min(LONGEST - SHORTEST + 1, len(word) - SHORTEST + 1))]
 
 
 def counted(model):
@@ -215,7 +218,7 @@ def regression(points: list[tuple[float, int, int]]) -> tuple[float, float]:
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
-    return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(5)) == 0
+    return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(5)) == 0, F.lit(False))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
