@@ -162,3 +162,15 @@ def test_quotes_and_tags_without_an_end():
     assert text('<p title="a > b">x</p>') == "x"
     assert text("<p>1 < 2 <b") == "1 < 2 <b"
     assert text('<p class="x>y</p>') == "y"
+
+
+def test_a_page_built_in_a_form_keeps_its_text(spark):
+    cases = {
+        '<body><form id="aspnetForm"><nav><p>menu</p></nav><h1>t</h1><p>article</p></form></body>': "t\n\narticle",
+        "<body><dialog><aside><h1>t</h1><p>article</p></aside></dialog></body>": "t\n\narticle",
+        "<body><div><h1>a</h1><p>x</p><form><p>search</p></form></div></body>": "a\n\nx",
+        "<body><form><p>no</p></form><h1>t</h1><p>y</p></body>": "t\n\ny",
+    }
+    rows = [(k, f"http://h{k}.example/", html) for k, html in enumerate(cases)]
+    got = main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()
+    assert [r.text for r in got] == list(cases.values())

@@ -34,6 +34,8 @@ SALTS = 64
 
 # Elements and words of class, id or role that no article text has.
 NO_ARTICLE = RAW | frozenset("aside button dialog footer form head menu nav noscript object select svg template".split())
+#: Of these those that a page may be built in: what holds the main heading is the page, not a part of it.
+AROUND = frozenset("aside dialog form".split())
 NO_ARTICLE_MARKS = frozenset(
     """ad ads advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments complementary consent contentinfo
     cookie cookies disqus footer gdpr menu modal nav navbar navigation newsletter notice notices notification pagination popup promo promoted
@@ -58,9 +60,9 @@ def names_part(name: str, words: frozenset) -> bool:
 
 def dropped(node: Node, inside: bool) -> bool:
     """Whether a part is none of the article; headers are, but for those inside it. What holds the page's main heading
-    or main element is no such part, whatever its name."""
+    or main element is no such part, whatever its element or name."""
     if node.tag in NO_ARTICLE or not inside and node.tag in HEADERS:
-        return True
+        return not (node.title and node.tag in AROUND)
     if not node.marks or node.tag in ("html", "body", "article", "main"):
         return False
     if not node.title and any(names_part(name, NO_ARTICLE_MARKS) for name in node.marks):
