@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wayline.functions.python import string_leaves
 from wayline.operators.matching import match_visits
+from wayline.session import settled
 
 FATAL, DEGRADED, INFO = "FATAL", "DEGRADED", "INFO"
 #: What stands for bytes that could not be read; the text behind it is gone.
@@ -75,7 +76,7 @@ def visits_and_outcomes(good: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def archive_findings(files: DataFrame) -> DataFrame:
     """(run, code, severity, path) of what is wrong with each archive by itself; files(run, raw)."""
-    rows = opened(files)
+    rows = settled(opened(files))  # read and parsed once, asked several times
     good = rows.where("problem IS NULL")
     broken = rows.where("problem IS NOT NULL").select("run", F.col("problem").alias("code"), F.lit(FATAL).alias("severity"), F.lit("$").alias("path"))
     doc = F.col("doc")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 from pathlib import Path
 
@@ -51,5 +53,7 @@ def settled(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         if not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and the executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="wayline-"))
+        folder = tempfile.mkdtemp(prefix="wayline-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
     return df.checkpoint()
