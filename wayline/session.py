@@ -49,11 +49,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def settled(df: DataFrame) -> DataFrame:
     """df, computed once and kept in the folder of spark.checkpoint.dir with its partitions; in local mode in one of our own where that is unset."""
-    context = df.sparkSession.sparkContext
+    spark = df.sparkSession
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and the executors share")
-        folder = tempfile.mkdtemp(prefix="wayline-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        if not folder:
+            if not context.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and the executors share")
+            folder = tempfile.mkdtemp(prefix="wayline-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
         context.setCheckpointDir(folder)
     return df.checkpoint()
