@@ -1,10 +1,13 @@
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from wayline.functions.text import Noise
 from wayline.operators import bodies
+from wayline.plans import texts
+from wayline.plans.catalog import ORACLES
 
 NOISE = Noise(words=("menu",), pattern="^[0-9]+$", short_pattern="^ad")
 KEEP, FOCUS, KEYWORDS, LIMIT = ("must",), "nation", ("play",), 30
@@ -93,3 +96,16 @@ def test_nothing_and_very_much(spark):
     assert shown(spark, [("", ["x"]), (" \n ", None)]) == [("", 0, 0, False, "rules")] * 2
     many = "\n".join(f"line {i}" for i in range(20_000))
     assert shown(spark, [(many, None)]) == [("line 0\nline 1\nline 2\nline 3\nli", 5, 19_995, True, "rules")]
+
+
+@pytest.mark.parametrize("name", ["t1_digest", "t2_refined_view"])
+def test_last_lines_about_the_limit_as_by_sql(spark, tmp_path, name):
+    """A last line that fits without its end is whole, one that fits neither is cut, and one behind it is lost."""
+    page = lambda *sizes: "\n".join(chr(97 + k) * (n - 3) + " an" for k, n in enumerate(sizes))
+    pages = [page(*x) for x in ([399], [400], [401], [200, 198], [200, 199], [200, 200], [200, 199, 9], [200, 198, 9], [399, 9], [400, 9])]
+    pages += ["http://x/\n" + page(n) for n in (389, 390, 391)]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame([(i, t, lang) for lang, first in (("en", 0), ("de", 100)) for i, t in enumerate(pages, first)], "doc_id long, text string, lang string").coalesce(1).write.parquet(path)
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+    assert sorted(map(tuple, getattr(texts, name)(spark, str(tmp_path)).collect())) == sorted(duck.execute(ORACLES[name]).fetchall())

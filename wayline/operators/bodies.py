@@ -18,11 +18,12 @@ def scored_lines(lines: Column, keep: Sequence[str], focus: Column, keywords: Se
     return F.transform(lines, lambda x, k: F.struct(k.alias("idx"), x.alias("line"), T.line_score(x, keep, focus, keywords).alias("score")))
 
 
-def within_budget(scored: Column, limit: int) -> Column:
+def within_budget(scored: Column, limit: int, last_end: bool = True) -> Column:
     """(text, kept, truncated) of array<struct<idx,line,score>>.
 
     Forced lines stay. The others follow by score, then place; the first that does not fit is cut, and none after it
-    is taken. What is taken is put back in order of place. A line costs its end too.
+    is taken. What is taken is put back in order of place. A line costs its end too. Where only the end of the last line taken
+    does not fit, nothing of the text is lost: that counts as truncated unless last_end is false.
     """
     forced = F.transform(F.filter(scored, lambda x: x["score"] >= FORCED), lambda x: F.struct(x["idx"].alias("idx"), x["line"].alias("line")))
     rest = F.array_sort(F.transform(F.filter(scored, lambda x: x["score"] < FORCED), lambda x: F.struct((-x["score"]).alias("order"), x["idx"].alias("idx"), x["line"].alias("line"))))
@@ -35,24 +36,26 @@ def within_budget(scored: Column, limit: int) -> Column:
         part = lambda line: F.concat(acc["took"], F.array(F.struct(x["idx"].alias("idx"), line.alias("line"))))
         # at most limit / 2 + 1 lines are taken, so the array stays short whatever the page
         took = F.when(acc["full"], acc["took"]).when(fits, part(x["line"])).when(acc["left"] > 0, part(F.left(x["line"], acc["left"]))).otherwise(acc["took"])
-        return F.struct(F.when(acc["full"] | ~fits, acc["left"]).otherwise(acc["left"] - cost).alias("left"), (acc["full"] | ~fits).alias("full"), took.alias("took"))
+        over = acc["full"] | ~fits
+        lost = over if last_end else acc["lost"] | acc["full"] | (F.length(x["line"]) > acc["left"])
+        return F.struct(F.when(over, acc["left"]).otherwise(acc["left"] - cost).alias("left"), over.alias("full"), lost.alias("lost"), took.alias("took"))
 
-    filled = F.aggregate(rest, F.struct(left.alias("left"), F.lit(False).alias("full"), none.alias("took")), take)
+    filled = F.aggregate(rest, F.struct(left.alias("left"), F.lit(False).alias("full"), F.lit(False).alias("lost"), none.alias("took")), take)
 
     def told(acc: Column) -> Column:
         chosen = F.array_sort(F.concat(forced, acc["took"]))
         whole = F.array_join(F.transform(chosen, lambda x: x["line"]), "\n")
-        return F.struct(whole.alias("text"), F.size(chosen).alias("kept"), (acc["full"] | (F.length(whole) > limit)).alias("truncated"))
+        return F.struct(whole.alias("text"), F.size(chosen).alias("kept"), (acc["lost"] | (F.length(whole) > limit)).alias("truncated"))
 
     return F.get(F.transform(F.array(filled), told), F.lit(0))
 
 
-def digest(body: Column, noise: T.Noise, keep: Sequence[str], focus: Column, keywords: Sequence[str], limit: int) -> Column:
+def digest(body: Column, noise: T.Noise, keep: Sequence[str], focus: Column, keywords: Sequence[str], limit: int, last_end: bool = True) -> Column:
     """(text, kept, truncated) of a body by rules: its lines without noise and repeats, within the budget."""
-    return within_budget(scored_lines(T.candidate_lines(body, noise), keep, focus, keywords), limit)
+    return within_budget(scored_lines(T.candidate_lines(body, noise), keep, focus, keywords), limit, last_end)
 
 
-def refined(body: Column, picked: Column, noise: T.Noise, keep: Sequence[str], focus: Column, keywords: Sequence[str], limit: int) -> Column:
+def refined(body: Column, picked: Column, noise: T.Noise, keep: Sequence[str], focus: Column, keywords: Sequence[str], limit: int, last_end: bool = True) -> Column:
     """(text, kept, truncated) of a body by picked lines; null where they cannot be used, and then none of them is.
 
     Every picked line, without blanks at its ends, must stand in the body as it is; empty and repeated ones do not count, and one at
@@ -63,13 +66,13 @@ def refined(body: Column, picked: Column, noise: T.Noise, keep: Sequence[str], f
     usable = (F.size(wanted) > 0) & (F.size(F.array_except(wanted, lines)) == 0)
     forced = F.filter(T.candidate_lines(body, noise), lambda x: T.line_score(x, keep, focus, keywords) >= FORCED)
     ordered = F.array_intersect(lines, F.array_union(wanted, forced))  # in the order of the page, each once
-    return F.when(usable, digest(F.array_join(ordered, "\n"), noise, keep, focus, keywords, limit))
+    return F.when(usable, digest(F.array_join(ordered, "\n"), noise, keep, focus, keywords, limit, last_end))
 
 
-def view(body: Column, picked: Column, noise: T.Noise, keep: Sequence[str], focus: Column, keywords: Sequence[str], limit: int) -> Column:
+def view(body: Column, picked: Column, noise: T.Noise, keep: Sequence[str], focus: Column, keywords: Sequence[str], limit: int, last_end: bool = True) -> Column:
     """(text, kept, dropped, truncated, source): refined() where it can be used, else digest(); dropped counts candidate lines that are not kept."""
-    by_pick = refined(body, picked, noise, keep, focus, keywords, limit)
-    by_rule = digest(body, noise, keep, focus, keywords, limit)
+    by_pick = refined(body, picked, noise, keep, focus, keywords, limit, last_end)
+    by_rule = digest(body, noise, keep, focus, keywords, limit, last_end)
     total = F.size(T.candidate_lines(body, noise))
 
     def told(x: Column) -> Column:

@@ -73,7 +73,7 @@ SELECT doc_id, text, cut OR length(text) > 400 AS truncated FROM joined
 """)
 def t1_digest(spark, sf_dir):
     """A digest of each document within 400 characters."""
-    shown = bodies.digest(F.col("text"), NOISE, KEEP, F.lit(FOCUS), KEYWORDS, 400)
+    shown = bodies.digest(F.col("text"), NOISE, KEEP, F.lit(FOCUS), KEYWORDS, 400, last_end=False)
     rows = table(spark, sf_dir, "documents").where(F.size(text.candidate_lines(F.col("text"), NOISE)) > 0)
     return rows.select("doc_id", shown.alias("shown")).select("doc_id", "shown.text", "shown.truncated")
 
@@ -104,7 +104,7 @@ def t2_refined_view(spark, sf_dir):
     """Each document by the lines that were picked for it, within 400 characters, by rules where they cannot be used."""
     picked = F.reverse(F.filter(text.lines(F.col("text")), lambda x: F.contains(x, F.lit(SYLLABLE))))
     picked = F.when(F.col("lang") == "de", F.concat(picked, F.array(F.lit("a line of another page")))).otherwise(picked)
-    shown = bodies.view(F.col("text"), picked, NOISE, KEEP, F.lit(FOCUS), KEYWORDS, 400)
+    shown = bodies.view(F.col("text"), picked, NOISE, KEEP, F.lit(FOCUS), KEYWORDS, 400, last_end=False)
     return table(spark, sf_dir, "documents").select("doc_id", shown.alias("shown")).select("doc_id", "shown.*")
 
 
