@@ -1,10 +1,13 @@
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from wayline.functions.python import shared_phrases, text_anchor
 from wayline.operators import anchoring
+from wayline.plans.anchoring import f17_anchored_phrases
+from wayline.plans.catalog import ORACLES
 
 
 def phrases(evidence, text):
@@ -90,3 +93,14 @@ def test_rate(spark):
     frame = spark.createDataFrame(rows, VISITS)
     assert tuple(anchoring.handling_rate(anchoring.handling(frame, ["blocked"])).first()) == (2, 1, 0.5, 1, 0)
     assert tuple(anchoring.handling_rate(anchoring.handling(frame.limit(0), ["blocked"])).first()) == (0, 0, None, 0, 0)
+
+
+def test_phrases_of_turns_as_by_sql(spark, tmp_path):
+    """Repeated sentences are named as often as they are there, without wide blanks at their ends; a turn of null comes last."""
+    rows = [(1, 0, "u", "Of. Many. Of.\u3000Wide\xa0.Of"), (1, 1, "a", "Of Many Wide 1"), (1, None, "u", "Many Wide"), (2, 3, "u", None), (2, 4, "a", "Of 4"), (3, 1, "u", "Of"), (3, 2, "a", None)]
+    path = str(tmp_path / "conversations.parquet")
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").coalesce(1).write.parquet(path)
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW conversations AS SELECT * FROM '{path}/*.parquet'")
+    key = lambda r: (r[0], str(r[1]))
+    assert sorted(map(tuple, f17_anchored_phrases(spark, str(tmp_path)).collect()), key=key) == sorted(duck.execute(ORACLES["f17_anchored_phrases"]).fetchall(), key=key)

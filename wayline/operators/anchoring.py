@@ -14,16 +14,20 @@ from wayline.functions.python import text_anchors
 ELEMENT, COUNT = "元素名「%s」", "计数 %d"
 ABNORMAL = ("unreachable_hard", "login_required", "blocked", "login_wall_or_blocked", "broken", "unresolved")
 
+#: Blanks of any width at the ends; trim() knows one.
+BLANKS = r"^\p{Zs}+|\p{Zs}+$"
+
 #: An observation, as anchored() and handling() take them.
 OBSERVATION = "struct<body_text:string,labels:array<string>,media:int,frames:int,truncated:boolean,elements_total:int>"
 
 
-def anchored(evidence: Column, observations: Column) -> Column:
+def anchored(evidence: Column, observations: Column, once: bool = True) -> Column:
     """What of the observations the evidence names: of each in turn the quoted part of its body, its element names of two and
-    more characters, its positive counts; each once. Nothing for empty evidence; null evidence is empty."""
+    more characters without blanks of any width at their ends, its positive counts; each once, or where once is false as often as
+    it is there. Nothing for empty evidence; null evidence is empty."""
     said = F.coalesce(evidence, F.lit(""))
     bodies = text_anchors(F.transform(observations, lambda o: o["body_text"]), said)
-    labels = lambda o: F.filter(F.transform(F.coalesce(o["labels"], F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: (F.length(x) >= 2) & F.contains(said, x))
+    labels = lambda o: F.filter(F.transform(F.coalesce(o["labels"], F.array().cast("array<string>")), lambda x: F.regexp_replace(x, BLANKS, "")), lambda x: (F.length(x) >= 2) & F.contains(said, x))
     counts = lambda o: F.filter(F.array(o["media"], o["frames"]), lambda n: (n > 0) & F.contains(said, n.cast("string")))
     names = F.zip_with(
         observations,
@@ -34,7 +38,8 @@ def anchored(evidence: Column, observations: Column) -> Column:
             F.transform(counts(o), lambda n: F.format_string(COUNT, n)),
         ),
     )
-    return F.when(said == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.flatten(F.coalesce(names, F.array().cast("array<array<string>>")))))
+    every = F.flatten(F.coalesce(names, F.array().cast("array<array<string>>")))
+    return F.when(said == "", F.array().cast("array<string>")).otherwise(F.array_distinct(every) if once else every)
 
 
 def _empty(o: Column) -> Column:
