@@ -50,3 +50,11 @@ def test_what_stays(spark):
     assert pruned(spark, PROMPT, ["one", "three"], True) == (f"hello\n\n地图（THE MAP） here\n\n### Directories\n a\n\n<agent-skills>\nlist\n{one}\n\n</agent-skills>", ["AGENTS.md", "长期记忆", "Framework Info"], ["one"], ["two"])
     assert pruned(spark, PROMPT, None, None) == ("hello\n\n### Directories\n a", ["AGENTS.md", "THE MAP", "长期记忆", "agent-skills", "Framework Info"], [], ["one", "two"])
     assert pruned(spark, "") == pruned(spark, None) == ("", [], [], [])
+
+
+def test_every_part_is_worked_out_once(spark):
+    """The plan names the cut into sections, the cut into skills and each beginning once, however many results ask for them."""
+    shown = prompts.pruned(F.col("text"), F.col("skills"), {"THE MAP": F.col("recalled")})
+    frame = spark.createDataFrame([("x", ["one"], True)], USED).select(shown.alias("p")).select("p.text", "p.dropped_sections", "p.kept_skills", "p.dropped_skills")
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("(?=<skill>)") == 1 and plan.count("\\A# PROFILE") == 1

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,6 +25,11 @@ BOUNDARIES = (
 SKILLS, SKILLS_END = "agent-skills", "</agent-skills>"
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value worked out once however often use asks for it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def sections(text: Column, boundaries: Sequence[tuple[str, str, str]] = BOUNDARIES) -> Column:
     """array<struct<kind,title,content>> of a prompt, in order; nothing for empty and null ones.
 
@@ -32,20 +37,29 @@ def sections(text: Column, boundaries: Sequence[tuple[str, str, str]] = BOUNDARI
     unknown, and left out if blank; a prompt without any is one unknown section.
     """
     whole = F.coalesce(text, F.lit(""))
-    pieces = F.split(whole, "(?m)(?=" + "|".join(f"(?:{p})" for p, _, _ in boundaries) + ")")
-
-    def section(piece: Column, place: Column) -> Column:
-        kind, title = F.lit("unknown"), F.lit("")
-        for pattern, its_kind, its_title in reversed(boundaries):
-            begins = piece.rlike(r"(?m)\A" + pattern.removeprefix("^"))
-            kind, title = F.when(begins, its_kind).otherwise(kind), F.when(begins, its_title).otherwise(title)
-        rest = F.array_join(F.slice(pieces, place + 1, F.size(pieces)), "")
+    begins = F.split(whole, "(?m)(?=" + "|".join(f"(?:{p})" for p, _, _ in boundaries) + ")")
+    named = lambda kind, title: F.struct(F.lit(kind).alias("kind"), F.lit(title).alias("title"))
+
+    def head(piece: Column) -> Column:
+        found = named("unknown", "")
+        for pattern, kind, title in reversed(boundaries):
+            found = F.when(piece.rlike(r"(?m)\A" + pattern.removeprefix("^")), named(kind, title)).otherwise(found)
+        return found
+
+    def block(rest: Column) -> Column:
         end = F.instr(rest, SKILLS_END)
-        block = F.when(end > 0, F.left(rest, end + len(SKILLS_END) - 1)).otherwise(rest)
-        return F.struct(kind.alias("kind"), title.alias("title"), F.when(title == SKILLS, block).otherwise(piece).alias("content"))
+        return F.when(end > 0, F.left(rest, end + len(SKILLS_END) - 1)).otherwise(rest)
+
+    def cut(pieces: Column) -> Column:
+        def section(piece: Column, place: Column) -> Column:
+            rest = F.array_join(F.slice(pieces, place + 1, F.size(pieces)), "")
+            content = lambda h: F.when(h["title"] == SKILLS, once(rest, block)).otherwise(piece)
+            return once(head(piece), lambda h: F.struct(h["kind"].alias("kind"), h["title"].alias("title"), content(h).alias("content")))
+
+        some = lambda s: (s["title"] != "") | (F.regexp_replace(s["content"], r"\s+", "") != "") | (F.size(pieces) == 1)
+        return F.filter(F.transform(pieces, section), lambda s: (whole != "") & some(s))
 
-    found = F.filter(F.transform(pieces, section), lambda s: (s["title"] != "") | (F.regexp_replace(s["content"], r"\s+", "") != "") | (F.size(pieces) == 1))
-    return F.when(whole != "", found).otherwise(F.filter(found, lambda _: F.lit(False)))
+    return once(begins, cut)
 
 
 def _strip(text: Column) -> Column:
@@ -54,14 +68,16 @@ def _strip(text: Column) -> Column:
 
 def skills_kept(content: Column, called: Column) -> Column:
     """(text, kept, dropped) of a block of skills: those that were called, without the lines that tell where they lie."""
-    parts = F.split(content, r"(?s)(?=<skill>)|(?<=</skill>)")
-    is_skill = lambda p: p.rlike(r"(?s)\A<skill>.*</skill>\z")
     name = lambda p: F.regexp_extract(p, r"(?s)<name>\s*(.*?)\s*</name>", 1)
-    wanted = lambda p: F.array_contains(called, name(p))
-    names = lambda keep: F.transform(F.filter(parts, lambda p: is_skill(p) & (wanted(p) if keep else ~wanted(p))), name)
-    shown = F.transform(parts, lambda p: F.when(~is_skill(p), p).when(wanted(p), F.regexp_replace(p, r"(?m)^<dir>.*?</dir>\s*\n?", "")).otherwise(""))
-    text = _strip(F.regexp_replace(F.array_join(shown, ""), r"\n{3,}", "\n\n"))
-    return F.struct(F.when(F.size(names(True)) > 0, text).otherwise("").alias("text"), names(True).alias("kept"), names(False).alias("dropped"))
+    part = lambda p: once(F.when(p.rlike(r"(?s)\A<skill>.*</skill>\z"), name(p)), lambda n: F.struct(p.alias("text"), n.alias("name"), F.array_contains(called, n).alias("wanted")))
+
+    def told(parts: Column) -> Column:
+        names = lambda keep: F.transform(F.filter(parts, lambda p: p["name"].isNotNull() & (p["wanted"] if keep else ~p["wanted"])), lambda p: p["name"])
+        shown = F.transform(parts, lambda p: F.when(p["name"].isNull(), p["text"]).when(p["wanted"], F.regexp_replace(p["text"], r"(?m)^<dir>.*?</dir>\s*\n?", "")).otherwise(""))
+        text = _strip(F.regexp_replace(F.array_join(shown, ""), r"\n{3,}", "\n\n"))
+        return once(names(True), lambda kept: F.struct(F.when(F.size(kept) > 0, text).otherwise("").alias("text"), kept.alias("kept"), names(False).alias("dropped")))
+
+    return once(F.transform(F.split(content, r"(?s)(?=<skill>)|(?<=</skill>)"), part), told)
 
 
 def pruned(text: Column, skills: Column, needs: Mapping[str, Column], boundaries: Sequence[tuple[str, str, str]] = BOUNDARIES) -> Column:
@@ -76,24 +92,27 @@ def pruned(text: Column, skills: Column, needs: Mapping[str, Column], boundaries
         used = F.lit(True)
         for title, condition in needs.items():
             used = F.when(s["title"] == title, F.coalesce(condition, F.lit(False))).otherwise(used)
-        of_skills = skills_kept(s["content"], called)
         is_skills = s["title"] == SKILLS
-        shown = F.when(is_skills, of_skills["text"]).otherwise(_strip(s["content"]))
-        kept = (s["kind"] != "framework") & used & ~(is_skills & (of_skills["text"] == ""))
         none = F.array().cast("array<string>")
         asked = is_skills & used & (s["kind"] != "framework")
+
+        def shown(of_skills: Column) -> Column:
+            return F.struct(
+                s["title"].alias("title"),
+                ((s["kind"] != "framework") & used & ~(is_skills & (of_skills["text"] == ""))).alias("kept"),
+                F.when(is_skills, of_skills["text"]).otherwise(_strip(s["content"])).alias("text"),
+                F.when(asked, of_skills["kept"]).otherwise(none).alias("kept_skills"),
+                F.when(asked, of_skills["dropped"]).otherwise(none).alias("dropped_skills"),
+            )
+
+        return once(F.when(is_skills, skills_kept(s["content"], called)), shown)
+
+    def told(each: Column) -> Column:
         return F.struct(
-            s["title"].alias("title"),
-            kept.alias("kept"),
-            shown.alias("text"),
-            F.when(asked, of_skills["kept"]).otherwise(none).alias("kept_skills"),
-            F.when(asked, of_skills["dropped"]).otherwise(none).alias("dropped_skills"),
+            F.array_join(F.filter(F.transform(F.filter(each, lambda s: s["kept"]), lambda s: s["text"]), lambda t: t != ""), "\n\n").alias("text"),
+            F.transform(F.filter(each, lambda s: ~s["kept"]), lambda s: s["title"]).alias("dropped_sections"),
+            F.flatten(F.transform(each, lambda s: s["kept_skills"])).alias("kept_skills"),
+            F.flatten(F.transform(each, lambda s: s["dropped_skills"])).alias("dropped_skills"),
         )
 
-    each = F.transform(sections(text, boundaries), judged)
-    return F.struct(
-        F.array_join(F.filter(F.transform(F.filter(each, lambda s: s["kept"]), lambda s: s["text"]), lambda t: t != ""), "\n\n").alias("text"),
-        F.transform(F.filter(each, lambda s: ~s["kept"]), lambda s: s["title"]).alias("dropped_sections"),
-        F.flatten(F.transform(each, lambda s: s["kept_skills"])).alias("kept_skills"),
-        F.flatten(F.transform(each, lambda s: s["dropped_skills"])).alias("dropped_skills"),
-    )
+    return once(F.transform(sections(text, boundaries), judged), told)
