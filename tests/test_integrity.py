@@ -1,8 +1,10 @@
 import json
+import random
 
 import pytest
 
 from wayline.operators import integrity
+from wayline.plans import archives as plans
 from wayline.sources import archives
 
 WHOLE = {"url": "u", "body_text": "text", "video_tag_count": 1}
@@ -96,3 +98,23 @@ def test_derived_sets_that_differ(spark):
     ids = lambda *x: spark.createDataFrame([(i,) for i in x], "id string")
     assert {tuple(r) for r in integrity.composition(ids("a", "b"), ids("b", "c", "c"), ids("a", "d")).collect()} == {
         ("samples", "views", 1), ("views", "samples", 1), ("samples", "tasks", 1), ("tasks", "samples", 1)}
+
+
+def test_archives_with_few_and_many_pairs_alike(spark, monkeypatch):
+    """Visits matched beside their outcomes meet the same ones as by joins."""
+    pick = random.Random(8)
+    url = lambda: pick.choice([None, "", " ", *"abcdef"])
+    one = lambda: {"url": url(), "landed_url": url(), "success": pick.random() < 0.5, "player_obs": pick.choice([None, {"url": url()}])}
+    end = lambda: {"url": url(), "site_url": url(), "branch": pick.choice([None, "blocked"]), "evidence": "x", "source": pick.choice([None, "llm", "rule"])}
+    docs = [good(visits=pick.choice([None, [one() for _ in range(pick.randrange(5))]]), outcomes=pick.choice([None, [end() for _ in range(pick.randrange(6))]])) for _ in range(300)]
+    files = spark.createDataFrame([(str(i), json.dumps(doc)) for i, doc in enumerate(docs)], "run string, raw string")
+    beside = sorted(map(tuple, integrity.archive_findings(files).collect()))
+    monkeypatch.setattr(integrity, "PAIRS", -1)
+    assert beside == sorted(map(tuple, integrity.archive_findings(files).collect())) and len(beside) > 300
+
+
+@pytest.mark.parametrize("name", ["q21_findings", "q21_report", "q21_not_pooled", "q21_contradicted"])
+def test_archives_are_parsed_once(spark, name):
+    """No query writes or parses the archives again for each thing that it asks of them."""
+    plan = getattr(plans, name)(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan and "to_json(struct(task_id" not in plan

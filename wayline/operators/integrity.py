@@ -7,11 +7,11 @@ from collections.abc import Collection
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayline.functions.python import string_leaves
+from wayline.functions.python import paths_of_leaves
 from wayline.operators.matching import match_visits
-from wayline.session import settled
+from wayline.session import stored
 
-FATAL, DEGRADED, INFO = "FATAL", "DEGRADED", "INFO"
+FATAL, DEGRADED, INFO, NEGATIVE = "FATAL", "DEGRADED", "INFO", "NEGATIVE"
 #: What stands for bytes that could not be read; the text behind it is gone.
 REPLACEMENT = "�"
 
@@ -20,7 +20,8 @@ DOCUMENT = f"""STRUCT<task_id:STRING,user_prompt:STRING,run_config:STRING,steps:
   visits:ARRAY<STRUCT<url:STRING,landed_url:STRING,success:STRING,steps:ARRAY<STRING>,site_obs:{PAGE},player_obs:{PAGE}>>,
   outcomes:ARRAY<STRUCT<url:STRING,site_url:STRING,branch:STRING,evidence:STRING,source:STRING>>>"""
 
-_FINDING = "run string, code string, severity string, path string"
+#: Archives with more pairs of a visit and an outcome than these are matched by joins.
+PAIRS = 10_000
 
 
 def said(text: Column) -> Column:
@@ -29,10 +30,24 @@ def said(text: Column) -> Column:
 
 
 def opened(files: DataFrame) -> DataFrame:
-    """files(run, raw) with `doc` and `problem`: not_utf8 where raw is null, bad_json where it is no JSON, else null."""
-    doc = F.from_json("raw", DOCUMENT)
-    problem = F.when(F.col("raw").isNull(), "not_utf8").when(F.try_parse_json("raw").isNull() | doc.isNull(), "bad_json")
-    return files.select("run", "raw", doc.alias("doc"), problem.alias("problem"))
+    """files(run, raw) with `doc` and `problem`: not_utf8 where raw is null, bad_json where it is no JSON, else null. What parsed() gives stays as it is."""
+    if "problem" in files.columns:
+        return files
+    rows = files.select("run", "raw", F.from_json("raw", DOCUMENT).alias("doc"), F.try_parse_json("raw").isNull().alias("bad"))
+    problem = F.when(F.col("raw").isNull(), "not_utf8").when(F.col("bad") | F.col("doc").isNull(), "bad_json")
+    return rows.select("run", "raw", "doc", problem.alias("problem"))
+
+
+def parsed(files: DataFrame, *fields: str) -> DataFrame:
+    """opened(), worked out once for all that asks for it, with these fields of the documents alone if any are named.
+
+    Only texts that may hold the replacement character are kept.
+    """
+    raw = F.when(F.contains("raw", F.lit(REPLACEMENT)) | F.col("raw").rlike(r"\\u[fF]{3}[dD]"), F.col("raw"))
+    rows = opened(files)
+    if fields:
+        return stored(rows.select("run", F.struct(*(f"doc.{name}" for name in fields)).alias("doc"), "problem"))
+    return stored(rows.withColumn("raw", raw))
 
 
 def _found(code: str, severity: str | Column, at: Column | str, when: Column) -> Column:
@@ -54,29 +69,54 @@ def _each(rows: DataFrame, checks: list[Column]) -> DataFrame:
 
 
 def _damaged(good: DataFrame) -> DataFrame:
-    """Every string that holds the replacement character. Only archives whose text has one are walked."""
-    rows = good.where(F.contains("raw", F.lit(REPLACEMENT)) | F.col("raw").rlike(r"\\u[fF]{3}[dD]"))
-    leaves = rows.select("run", F.explode(string_leaves("raw")).alias("leaf")).where(F.contains("leaf.value", F.lit(REPLACEMENT)))
-    evidence = F.col("leaf.path").rlike(r"^\$\.outcomes\[.*\.evidence$")
-    return leaves.select(
-        "run",
-        F.when(evidence, "evidence_mojibake").otherwise("mojibake").alias("code"),
-        F.when(evidence, FATAL).otherwise(DEGRADED).alias("severity"),
-        F.col("leaf.path").alias("path"),
-    )
+    """Every string that holds the replacement character. Only archives whose text has one are walked: parsed() keeps no other texts."""
+    paths = good.where("raw IS NOT NULL").select("run", F.explode(paths_of_leaves("raw", F.lit(REPLACEMENT))).alias("path"))
+    evidence = F.col("path").rlike(r"^\$\.outcomes\[.*\.evidence$")
+    return paths.select("run", F.when(evidence, "evidence_mojibake").otherwise("mojibake").alias("code"), F.when(evidence, FATAL).otherwise(DEGRADED).alias("severity"), "path")
 
 
 def visits_and_outcomes(good: DataFrame) -> tuple[DataFrame, DataFrame]:
     """visits(run, visit, url, landed_url, player_url, v) and outcomes(run, idx, url, site_url, branch, evidence, source, task), places from 0."""
     visits = good.select("run", F.posexplode("doc.visits").alias("visit", "v"))
     visits = visits.select("run", "visit", *[F.coalesce(c, F.lit("")).alias(n) for n, c in (("url", F.col("v.url")), ("landed_url", F.col("v.landed_url")), ("player_url", F.col("v.player_obs.url")))], "v")
+    return visits, outcomes_of(good)
+
+
+def outcomes_of(good: DataFrame) -> DataFrame:
     outcomes = good.select("run", F.coalesce("doc.task_id", F.lit("")).alias("task"), F.posexplode("doc.outcomes").alias("idx", "o"))
-    return visits, outcomes.select("run", "idx", "o.url", "o.site_url", "o.branch", "o.evidence", "o.source", "task")
+    return outcomes.select("run", "idx", "o.url", "o.site_url", "o.branch", "o.evidence", "o.source", "task")
+
+
+def _beside(good: DataFrame) -> DataFrame:
+    """visits(run, visit, v, matched, branch, source) of archives, each matched beside its outcomes as match_visits() does, without a shuffle.
+
+    Every visit is held against all outcomes of its archive, so this is for archives with few of them.
+    """
+    last_first = F.reverse("doc.outcomes")
+    rows = good.select("run", F.size("doc.outcomes").alias("n"), *(last_first[name].alias(f"{name}s") for name in ("url", "site_url", "branch", "source")), F.posexplode("doc.visits").alias("visit", "v"))
+
+    def place(key: Column) -> Column:
+        """The place from 1, last ones first, of the first outcome that a key meets; null for none."""
+        at = [F.nullif(F.array_position(name, key), F.lit(0)) for name in ("urls", "site_urls")]
+        return F.when(key != "", F.least(*at))
+
+    found = F.coalesce(place(F.col("v.url")), place(F.col("v.landed_url")), place(F.col("v.player_obs.url"))).cast("int")
+    rows = rows.select("run", "visit", "v", "branchs", "sources", found.alias("at"))
+    of = lambda name: F.get(name, F.col("at") - 1)
+    return rows.select("run", "visit", "v", F.col("at").isNotNull().alias("matched"), of("branchs").alias("branch"), of("sources").alias("source"))
+
+
+def matched_visits(good: DataFrame) -> DataFrame:
+    """visits(run, visit, v, matched, branch, source) of archives: of those with many visits and outcomes by joins, of all others beside their outcomes."""
+    many = F.coalesce(F.size("doc.visits").cast("long") * F.size("doc.outcomes") > PAIRS, F.lit(False))
+    visits, outcomes = visits_and_outcomes(good.where(many))
+    joined = match_visits(visits, outcomes).join(outcomes.select("run", F.col("idx").alias("outcome"), "branch", "source"), ["run", "outcome"], "left")
+    return _beside(good.where(~many)).unionByName(joined.select("run", "visit", "v", "matched", "branch", "source"))
 
 
 def archive_findings(files: DataFrame) -> DataFrame:
-    """(run, code, severity, path) of what is wrong with each archive by itself; files(run, raw)."""
-    rows = settled(opened(files))  # read and parsed once, asked several times
+    """(run, code, severity, path) of what is wrong with each archive by itself; files(run, raw) or parsed() ones."""
+    rows = files if "problem" in files.columns else parsed(files)  # read and parsed once, asked several times
     good = rows.where("problem IS NULL")
     broken = rows.where("problem IS NOT NULL").select("run", F.col("problem").alias("code"), F.lit(FATAL).alias("severity"), F.lit("$").alias("path"))
     doc = F.col("doc")
@@ -90,8 +130,8 @@ def archive_findings(files: DataFrame) -> DataFrame:
             *_page(doc["search_observation"], F.lit("$.search_observation")),
         ],
     )
-    visits, outcomes = visits_and_outcomes(good)
-    matched = match_visits(visits, outcomes).join(outcomes.select("run", F.col("idx").alias("outcome"), "branch", "source"), ["run", "outcome"], "left")
+    outcomes = outcomes_of(good)
+    matched = matched_visits(good)
     at, v = F.concat(F.lit("$.visits["), F.col("visit").cast("string"), F.lit("]")), F.col("v")
     succeeded, won = said(v["success"]), F.col("matched") & F.col("branch").isNull()
     bare = lambda page: F.coalesce(page["video_tag_count"].try_cast("bigint"), F.lit(0)) == 0
@@ -125,7 +165,7 @@ def negatives(files: DataFrame, not_pooled: Collection[str], excluded: DataFrame
     not_pooled: branches that never do. excluded(run, idx): outcomes on platforms a task excludes; all outcomes of their run
     with the same url and branch stay out too.
     """
-    _, outcomes = visits_and_outcomes(opened(files).where("problem IS NULL"))
+    outcomes = outcomes_of(opened(files).where("problem IS NULL"))
     rows = outcomes.where(F.col("branch").isNotNull() & ~F.col("branch").isin(*not_pooled)).select("run", "idx", "task", F.trim(F.coalesce("url", F.lit(""))).alias("url"), "branch")
     if excluded is None:
         return rows
@@ -142,7 +182,7 @@ def not_in_pool(belonging: DataFrame, pool: DataFrame, quarantined: DataFrame) -
 
 def contradicted(files: DataFrame, pool: DataFrame, quarantined: DataFrame) -> DataFrame:
     """(task_id, url, branch, n_archives, first_run, severity) of pool rows whose url an archive calls a success."""
-    _, outcomes = visits_and_outcomes(opened(files).where("problem IS NULL"))
+    outcomes = outcomes_of(opened(files).where("problem IS NULL"))
     won = outcomes.where("branch IS NULL").select(F.trim("url").alias("url"), "run").where("url <> ''")
     won = won.groupBy("url").agg(F.count("*").alias("n_archives"), F.min("run").alias("first_run"))
     rows = pool.withColumn("url", F.trim("url")).join(quarantined.select("url").distinct(), "url", "left_anti").join(won, "url")
@@ -153,8 +193,9 @@ def report(files: DataFrame, findings: DataFrame, belonging: DataFrame) -> DataF
     """(run, sites, outcomes, negatives, fatal, degraded, ok) of each archive."""
     size = lambda name: F.greatest(F.coalesce(F.size(f"doc.{name}"), F.lit(0)), F.lit(0)).alias("sites" if name == "visits" else name)
     level = lambda name: F.count_if(F.col("severity") == name)
-    told = findings.groupBy("run").agg(level(FATAL).alias("fatal"), level(DEGRADED).alias("degraded"))
-    rows = opened(files).select("run", size("visits"), size("outcomes")).join(told, "run", "left").join(belonging.groupBy("run").agg(F.count("*").alias("negatives")), "run", "left")
+    every = findings.select("run", "severity").unionByName(belonging.select("run", F.lit(NEGATIVE).alias("severity")))
+    told = every.groupBy("run").agg(level(FATAL).alias("fatal"), level(DEGRADED).alias("degraded"), level(NEGATIVE).alias("negatives"))
+    rows = opened(files).select("run", size("visits"), size("outcomes")).join(told, "run", "left")
     count = lambda name: F.coalesce(name, F.lit(0)).alias(name)
     return rows.select("run", "sites", "outcomes", count("negatives"), count("fatal"), count("degraded"), (F.coalesce("fatal", F.lit(0)) == 0).alias("ok"))
 
