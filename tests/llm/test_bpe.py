@@ -1,7 +1,9 @@
 import base64
 import random
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import tiktoken
 
 from wayline.llm import bpe
@@ -55,3 +57,37 @@ def test_portions_hold_every_row_once():
     assert [a for a, _ in got] == [0, *(b for _, b in got[:-1])] and got[-1][1] == len(sizes)
     assert all(b - a == 1 or b - a <= bpe.ROWS and sum(sizes[a:b]) <= bpe.BYTES for a, b in got)
     assert list(bpe.portions([])) == []
+
+
+def test_words_are_merged_many_at_a_time(monkeypatch):
+    """Only tokens and long runs are looked at one by one."""
+    enc, ranks, merge = library(), bpe.read_ranks(PATH), bpe.merge
+    shared = type("Shared", (), {"value": (ranks, bpe.Pairs(ranks))})
+    rows = ["" if t is None else t for t in texts()] + ["xqzj" * 20 + " qqzzxj Ênßgñ 😀😁 漢字漢字"] * 2
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(len(rows)), "text": rows})
+    singly = []
+    monkeypatch.setattr(bpe, "merge", lambda piece, ranks: singly.append(piece) or merge(piece, ranks))
+    [out] = bpe.encoder(public_tokenizers.PATTERN, shared, True)(iter([batch]))
+    assert out.column(1).to_pylist() == [enc.encode_ordinary(t) for t in rows]
+    assert out.column(2).to_pylist() == [t.encode() for t in rows]
+    assert all(piece in ranks or len(piece) > bpe.SHORT for piece in singly)
+
+
+def test_pairs_merge_as_single_words_do():
+    draw, ranks = random.Random(5), bpe.read_ranks(PATH)
+    words = {"".join(draw.choice("aabeth  nningéß漢😀19!?") for _ in range(draw.randint(1, 40))).encode() for _ in range(3000)}
+    words = sorted(word for word in words if word not in ranks)
+    got = bpe.Pairs(ranks).merge(words)
+    assert [np.frombuffer(ids, dtype=np.int32).tolist() for ids in got] == [bpe.merge(word, ranks) for word in words]
+    assert bpe.Pairs(ranks).merge([]) == []
+    few = {bytes([a]): a for a in range(256)}  # no pair merges
+    assert bpe.Pairs(few).merge([b"ab", b"c"]) == [np.array([97, 98], dtype=np.int32).tobytes(), np.array([99], dtype=np.int32).tobytes()]
+
+
+def test_memory_that_starts_anew(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 1)
+    ranks = bpe.read_ranks(PATH)
+    known = bpe.Encoded(ranks, bpe.Pairs(ranks))
+    for words in ({"qzxj", "the"}, {"qzxj", "xqx"}, set()):
+        known.learn(words)
+        assert words == known.keys()

@@ -34,8 +34,10 @@ OVERLAP = 1 << 10
 REMEMBERED = 32 << 20
 #: What an entry of that memory takes besides.
 ENTRY = 200
+#: Pre-tokens of more bytes are merged one by one.
+SHORT = 64
 #: Texts, in number and in bytes, that are worked on at a time.
-ROWS, BYTES = 256, 4 << 20
+ROWS, BYTES = 256, 1 << 20
 
 Ranks = dict[bytes, int]
 
@@ -78,21 +80,95 @@ def merge(piece: bytes, ranks: Ranks) -> list[int]:
     return out
 
 
+class Pairs:
+    """Two neighbouring ids -> the rank of their joined bytes; merges many pre-tokens at a time."""
+
+    NONE = np.int32(2**31 - 1)
+
+    def __init__(self, ranks: Ranks):
+        self.single = np.array([ranks.get(bytes([a]), -1) for a in range(256)], dtype=np.int32)
+        joined = {}
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                if (a := ranks.get(token[:cut])) is not None and (b := ranks.get(token[cut:])) is not None:
+                    joined[a << 32 | b] = rank
+        self.keys = np.array(sorted(joined), dtype=np.int64)
+        self.joined = np.array([joined[key] for key in self.keys.tolist()], dtype=np.int32)
+
+    def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair, NONE where it does not merge."""
+        if not len(self.keys):
+            return np.full(len(left), self.NONE)
+        pairs = left.astype(np.int64) << 32 | right
+        at = np.minimum(np.searchsorted(self.keys, pairs), len(self.keys) - 1)
+        return np.where(self.keys[at] == pairs, self.joined[at], self.NONE)
+
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """What `merge` gives for each of these pre-tokens, packed; none is empty or a token, and each byte has a rank.
+
+        All lie one after the other. In each round every one merges its pair of lowest rank, and those without any leave.
+        """
+        word = np.repeat(np.arange(len(pieces), dtype=np.int32), [len(piece) for piece in pieces])
+        ids = self.single[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
+        pair = np.full(len(ids), self.NONE)
+        inner = np.flatnonzero(word[1:] == word[:-1])
+        pair[inner] = self.of(ids[inner], ids[inner + 1])
+        words, done = [], []
+        while len(ids):
+            starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            sizes = np.diff(np.append(starts, len(ids)))
+            least = np.minimum.reduceat(pair, starts)
+            if (least == self.NONE).any():
+                leave = np.repeat(least == self.NONE, sizes)
+                words.append(word[leave])
+                done.append(ids[leave])
+                ids, word, pair = ids[~leave], word[~leave], pair[~leave]
+                sizes, least = sizes[least != self.NONE], least[least != self.NONE]
+            at = np.flatnonzero(pair == np.repeat(least, sizes))
+            at = at[np.concatenate([[True], word[at[1:]] != word[at[:-1]]])] if len(at) else at  # the leftmost of equals
+            ids[at] = least
+            stay = np.ones(len(ids), dtype=bool)
+            stay[at + 1] = False
+            ids, word, pair = ids[stay], word[stay], pair[stay]
+            at = at - np.arange(len(at))
+            pair[at] = self.NONE
+            for left in (at[at > 0] - 1, at[at < len(ids) - 1]):
+                left = left[word[left] == word[left + 1]]
+                pair[left] = self.of(ids[left], ids[left + 1])
+        if not words:
+            return []
+        words, done = np.concatenate(words), np.concatenate(done)
+        packed = done[np.argsort(words, kind="stable")].tobytes()
+        ends = (4 * np.cumsum(np.bincount(words, minlength=len(pieces)))).tolist()
+        return [packed[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
 class Encoded(dict):
     """Pre-token -> its ids as packed int32."""
 
-    def __init__(self, ranks: Ranks):
+    def __init__(self, ranks: Ranks, pairs: Pairs):
         super().__init__()
-        self.ranks, self.size = ranks, 0
+        self.ranks, self.pairs, self.size = ranks, pairs, 0
+        self.bytes = {bytes([a]) for a in range(256)} <= ranks.keys()
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(merge(piece.encode("utf-8", "surrogatepass"), self.ranks), dtype=np.int32).tobytes()
-        self.size += ENTRY + 4 * len(piece) + len(ids)
+    def learn(self, pieces: set[str]) -> None:
+        """Holds the ids of all these pre-tokens; the memory starts anew before, where it is full."""
         if self.size >= REMEMBERED:
             self.clear()
             self.size = 0
+        short = []
+        for piece in pieces - self.keys():
+            letters = piece.encode("utf-8", "surrogatepass")
+            if letters in self.ranks or len(letters) > SHORT or not self.bytes:
+                self._hold(piece, np.array(merge(letters, self.ranks), dtype=np.int32).tobytes())
+            else:
+                short.append((piece, letters))
+        for (piece, _), ids in zip(short, self.pairs.merge([letters for _, letters in short]), strict=True):
+            self._hold(piece, ids)
+
+    def _hold(self, piece: str, ids: bytes) -> None:
         self[piece] = ids
-        return ids
+        self.size += ENTRY + 4 * len(piece) + len(ids)
 
 
 def id_lists(packed: list[bytes]) -> pa.ListArray:
@@ -137,16 +213,19 @@ def portions(sizes: list[int]) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
-def encoder(pattern: str, ranks, decoded: bool):
+def encoder(pattern: str, shared, decoded: bool):
     """For mapInArrow: replaces the last column, a text, by its ids, and if `decoded` by the bytes these decode to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, known = regex.compile(pattern).findall, Encoded(ranks.value)
-        letters = Letters(ranks.value) if decoded else None
+        ranks, pairs = shared.value
+        find, known = regex.compile(pattern).findall, Encoded(ranks, pairs)
+        letters = Letters(ranks) if decoded else None
         for batch in batches:
             texts = batch.columns[-1]
             for start, end in portions(pa.compute.binary_length(texts).to_pylist()):
-                ids = id_lists([b"".join(map(known.__getitem__, find(text.as_py()))) for text in texts.slice(start, end - start)])
+                found = list(map(find, texts.slice(start, end - start).to_pylist()))
+                known.learn(set().union(*found))
+                ids = id_lists([b"".join(map(known.__getitem__, pieces)) for pieces in found])
                 columns = [c.slice(start, end - start) for c in batch.columns[:-1]]
                 more = [letters.of(ids)] if decoded else []
                 yield pa.RecordBatch.from_arrays([*columns, ids, *more], [*batch.schema.names[:-1], "ids", *["bytes"] * decoded])
@@ -191,7 +270,7 @@ def boundaries(pattern: str, chunk: int, overlap: int):
 def encode(docs: DataFrame, ranks: Ranks, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP, decoded: bool = False) -> DataFrame:
     """(doc_id, ids array<int>) of every row of docs(doc_id, text), and if `decoded` the bytes the ids decode to."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(ranks)  # a vocabulary file's fixed size
+    shared = spark.sparkContext.broadcast((ranks, Pairs(ranks)))  # a vocabulary file's fixed size
     rows = docs.select("doc_id", whole_text().alias("text"))
     encode_text, more = encoder(pattern, shared, decoded), ", bytes binary" * decoded
     short = rows.where(F.length("text") <= chunk + overlap)
